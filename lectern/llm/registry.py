@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lectern.llm.quality_rules import op5_weak_rules
+from lectern.llm.secrets import op9_secret_owners
 from lectern.llm.sharding import op10_feistel_shards
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_feistel_shards,)}
+    return {f.__name__: f for f in (op5_weak_rules, op9_secret_owners, op10_feistel_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
