@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lectern.llm.compression import op7_compression_quality
+from lectern.llm.decontaminate import op6_window_decontamination
 from lectern.llm.pii import op3_pii_weak_labels
 from lectern.llm.quality_rules import op5_weak_rules
 from lectern.llm.secrets import op9_secret_owners
 from lectern.llm.sharding import op10_feistel_shards
 from lectern.llm.simhash import op4_simhash_vptree
 
-QUERIES = (op3_pii_weak_labels, op4_simhash_vptree, op5_weak_rules, op7_compression_quality, op9_secret_owners, op10_feistel_shards)
+QUERIES = (op3_pii_weak_labels, op4_simhash_vptree, op5_weak_rules, op6_window_decontamination, op7_compression_quality, op9_secret_owners, op10_feistel_shards)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
