@@ -13,8 +13,10 @@ from lectern.llm.quality_rules import op5_weak_rules
 from lectern.llm.secrets import op9_secret_owners
 from lectern.llm.sharding import op10_feistel_shards
 from lectern.llm.simhash import op4_simhash_vptree
+from lectern.llm import warc
+from lectern.llm.warc import op2_arc_to_warc
 
-QUERIES = (op3_pii_weak_labels, op4_simhash_vptree, op5_weak_rules, op6_window_decontamination, op7_compression_quality, op9_secret_owners, op10_feistel_shards)
+QUERIES = (op2_arc_to_warc, op3_pii_weak_labels, op4_simhash_vptree, op5_weak_rules, op6_window_decontamination, op7_compression_quality, op9_secret_owners, op10_feistel_shards)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,4 +24,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(warc.ORACLES)
