@@ -3,7 +3,7 @@ maximisation over the corpus' vote patterns estimates how each rule votes on goo
 texts, and the posterior probability of good decides. All of it is DataFrame expressions.
 
 The counts that EM needs are per vote pattern: at most 3 ** number of rules rows, whatever the
-corpus. Each iteration is one aggregation over that table; the driver holds the estimates only.
+corpus. EM runs over them as one expression; the driver gets the estimates only.
 
 Defined results: a null or empty text has no words and fails the base rule; every other column may
 be null; rows that are equal stay rows of their own; an empty table gives an empty result.
@@ -128,37 +128,43 @@ class Estimate:
         return 1 / (1 + F.exp(-odds))
 
 
-def estimate(patterns: DataFrame, votes: list[str], rounds: int = 30, close: float = 1e-5, prior: float = 0.5) -> Estimate | None:
-    """EM over patterns(votes..., n); None if there are no rows.
-
-    It starts from "a bad vote from any rule means bad", which settles which class is which.
-    prior: observations added to each vote's count, so that no probability is 0.
+#: One step: the votes of each pattern weighed by class (q), and from them share, on_good and on_bad.
+_MAXIMISED = """
+named_struct(
+  'share', (aggregate(q, 0D, (x, e) -> x + e.good) + 1) / (aggregate(q, 0D, (x, e) -> x + e.good + e.bad) + 2),
+  'on_good', transform(sequence(0, {last}), k -> (aggregate(q, 0D, (x, e) -> x + if(array_contains(e.votes, k), e.good, 0D)) + {prior})
+                                                / (aggregate(q, 0D, (x, e) -> x + e.good) + 3 * {prior})),
+  'on_bad', transform(sequence(0, {last}), k -> (aggregate(q, 0D, (x, e) -> x + if(array_contains(e.votes, k), e.bad, 0D)) + {prior})
+                                               / (aggregate(q, 0D, (x, e) -> x + e.bad) + 3 * {prior})))"""
+_WEIGHED = "named_struct('good', p.n * g, 'bad', p.n * (1 - g), 'votes', p.votes)"
+_POSTERIOR = "1 / (1 + exp(ln(1 - s.share) - ln(s.share) + aggregate(p.votes, 0D, (x, k) -> x + ln(s.on_bad[k]) - ln(s.on_good[k]))))"
+_EM = """
+aggregate(sequence(1, {rounds}),
+  transform(array(transform(patterns, p -> transform(array(if(exists(p.votes, k -> k % 3 = 0), 0.1D, 0.95D)), g -> {weighed})[0])), q -> {maximised})[0],
+  (s, i) -> transform(array(transform(patterns, p -> transform(array({posterior}), g -> {weighed})[0])), q -> {maximised})[0])"""
+
+
+def estimate(seen: DataFrame, votes: list[str], rounds: int = 40, prior: float = 0.5) -> Estimate | None:
+    """EM over the vote patterns of seen; None if there are no rows.
+
+    All rounds are one expression over the array of patterns, of which there are 3 ** len(votes)
+    at most; only the estimates come to the driver. It starts from "a bad vote from any rule means
+    bad", which settles which class is which. prior: observations added to each vote's count, so
+    that no probability is 0.
     """
-    bad_vote = F.lit(False)
-    for v in votes:
-        bad_vote = bad_vote | (F.col(v) == -1)
-    good, found = F.when(bad_vote, 0.1).otherwise(0.95), None
-    for _ in range(rounds):
-        sums = [F.sum(F.col("n") * good).alias("g"), F.sum(F.col("n") * (1 - good)).alias("b")]
-        for j, v in enumerate(votes):
-            for k in (-1, 0, 1):
-                here = F.when(F.col(v) == k, F.col("n")).otherwise(0)
-                sums += [F.sum(here * good).alias(f"g{j}_{k + 1}"), F.sum(here * (1 - good)).alias(f"b{j}_{k + 1}")]
-        s = patterns.agg(*sums).first()
-        if s["g"] is None:
-            return None
-        of = lambda c: tuple(
-            tuple((s[f"{c}{j}_{k}"] + prior) / (s[c] + 3 * prior) for k in range(3)) for j in range(len(votes))
-        )
-        new = Estimate((s["g"] + 1) / (s["g"] + s["b"] + 2), of("g"), of("b"))
-        done = found and abs(new.share - found.share) < close and all(
-            abs(p - q) < close for x, y in ((new.on_good, found.on_good), (new.on_bad, found.on_bad)) for a, b in zip(x, y, strict=True) for p, q in zip(a, b, strict=True)
-        )
-        found = new
-        if done:
-            break
-        good = found.posterior(votes)
-    return found
+    at = F.array(*(F.col(v) + 1 + 3 * j for j, v in enumerate(votes)))
+    patterns = (
+        seen.groupBy(*votes)
+        .agg(F.count(F.lit(1)).cast("double").alias("n"))
+        .agg(F.array_sort(F.collect_list(F.struct("n", at.alias("votes")))).alias("patterns"))
+    )
+    m = _MAXIMISED.format(last=3 * len(votes) - 1, prior=float(prior))
+    em = _EM.format(rounds=rounds, weighed=_WEIGHED, maximised=m, posterior=_POSTERIOR)
+    found = patterns.filter(F.size("patterns") > 0).select(F.expr(em).alias("e")).select("e.*").first()
+    if not found:
+        return None
+    by_rule = lambda p: tuple(tuple(p[3 * j : 3 * j + 3]) for j in range(len(votes)))
+    return Estimate(found["share"], by_rule(found["on_good"]), by_rule(found["on_bad"]))
 
 
 def judged(docs: DataFrame, least: float = 0.5, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -166,8 +172,7 @@ def judged(docs: DataFrame, least: float = 0.5, rules: tuple[Rule, ...] = RULES)
     s, votes = signals(F.col("text")), [f"vote_{r.name}" for r in rules]
     seen = docs.select("doc_id", s.alias("s")).select("doc_id", "s.*").withColumns({v: vote(r).cast("int") for v, r in zip(votes, rules, strict=True)})
     seen = kept(seen, "signals")
-    patterns = seen.groupBy(*votes).agg(F.count(F.lit(1)).alias("n")).coalesce(1).checkpoint()
-    found = estimate(patterns, votes)
+    found = estimate(seen, votes)
     quality = found.posterior(votes) if found else F.lit(None).cast("double")
     return seen.withColumns(
         {"base_failed": F.expr("n_words < 10 OR 100 * n_repeat_words > 20 * n_words"), "quality": quality}

@@ -38,3 +38,25 @@ def test_counts_equal_brute_force_and_votes_separate(spark):
 
 def test_empty(spark):
     assert q.judged(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_em_equals_plain_iteration(spark):
+    import random
+    from math import exp, log
+
+    r = random.Random(3)
+    rows = []
+    for _ in range(400):
+        good = r.random() < 0.8
+        rows.append(tuple(r.choices((-1, 0, 1), ((1, 4, 15) if good else (12, 4, 4)))[0] for _ in range(3)))
+    got = q.estimate(spark.createDataFrame(rows, "a int, b int, c int"), ["a", "b", "c"], rounds=15)
+    n = Counter(rows)
+    post = {p: 0.1 if -1 in p else 0.95 for p in n}
+    for i in range(16):
+        g, b = sum(n[p] * post[p] for p in n), sum(n[p] * (1 - post[p]) for p in n)
+        on_good = [[(sum(n[p] * post[p] for p in n if p[j] == v) + 0.5) / (g + 1.5) for v in (-1, 0, 1)] for j in range(3)]
+        on_bad = [[(sum(n[p] * (1 - post[p]) for p in n if p[j] == v) + 0.5) / (b + 1.5) for v in (-1, 0, 1)] for j in range(3)]
+        share = (g + 1) / (g + b + 2)
+        post = {p: 1 / (1 + exp(log(1 - share) - log(share) + sum(log(on_bad[j][v + 1] / on_good[j][v + 1]) for j, v in enumerate(p)))) for p in n}
+    assert abs(got.share - share) < 1e-9
+    assert all(abs(x - y) < 1e-9 for a, c in ((got.on_good, on_good), (got.on_bad, on_bad)) for p, w in zip(a, c) for x, y in zip(p, w))
