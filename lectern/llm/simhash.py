@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.llm._common import kept
 
@@ -216,16 +217,52 @@ def components(edges: DataFrame) -> DataFrame:
         now = kept(small.filter("a <> b").distinct(), "small")
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fingerprint (a signed long) and component_id, the smallest doc_id of the group, of each row."""
-    found = kept(fingerprints(docs), "fingerprints")
+def groups(found: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """fingerprint, root (the group's smallest fingerprint) and component_id of each fingerprint in found(doc_id, fingerprint)."""
     distinct = kept(found.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct")
     roots = components(stars(distinct.select("fingerprint"), radius))
     rooted = distinct.join(roots, distinct["fingerprint"] == roots["node"]).select("fingerprint", "first", "root")
-    groups = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    linked = rooted.join(groups, "root").select("fingerprint", "component")
-    of = distinct.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("component", "first").alias("component_id"))
-    return found.join(of, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    least = rooted.groupBy("root").agg(F.min("first").alias("component"))
+    linked = rooted.join(least, "root").select("fingerprint", "root", "component")
+    return distinct.join(linked, "fingerprint", "left").select(
+        "fingerprint", F.coalesce("root", "fingerprint").alias("root"), F.coalesce("component", "first").alias("component_id")
+    )
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fingerprint (a signed long) and component_id, the smallest doc_id of the group, of each row."""
+    found = kept(fingerprints(docs), "fingerprints")
+    return found.join(groups(found, radius).drop("root"), "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """One row of docs per group, with all its columns: that of the smallest doc_id, null last.
+
+    What goes is looked up by doc_id and fingerprint, so the table of dropped keys and not the
+    texts decides how the join runs. Rows that agree in both keys are told apart only where there
+    are such rows among those that stay.
+    """
+    id_at, text_at, name = docs.columns.index("doc_id"), docs.columns.index("text"), "__fingerprint"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = np.fromiter((fingerprint(hashes(t)) for t in b.column(text_at).to_pylist()), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found.view(np.int64))], [*b.schema.names, name])
+
+    marked = kept(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])), "marked")
+    found = marked.select(F.col(docs.columns[id_at]).alias("id"), F.col(name).alias("fingerprint"))
+    of = groups(found.withColumnRenamed("id", "doc_id"), radius).select("fingerprint", "root")
+    keys = kept(found.groupBy("id", "fingerprint").agg(F.count(F.lit(1)).alias("n")).join(of, "fingerprint"), "keys")
+    order = F.struct(F.col("id").isNull().alias("unknown"), "id", "fingerprint")
+    stays = keys.groupBy("root").agg(F.min(order).alias("stay"))
+    judged = kept(keys.join(stays, "root").withColumn("stays", order == F.col("stay")).select("id", "fingerprint", "n", "stays"), "judged")
+    same = lambda k: marked["doc_id"].eqNullSafe(k["id"]) & (marked[name] == k["fingerprint"])
+    gone, several = judged.filter(~F.coalesce("stays", F.lit(False))), judged.filter("stays AND n > 1")
+    out = marked.join(gone, same(gone), "left_anti")
+    if several.limit(1).count():
+        alone = out.join(several, same(several), "left_anti")
+        out = alone.unionByName(out.join(several, same(several), "left_semi").dropDuplicates(["doc_id", name]))
+    return out.drop(name)
 
 
 def op4_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
