@@ -172,7 +172,7 @@ def neighbour_masks(radius: int) -> Iterator[np.uint64]:
             yield np.uint64(sum(1 << b for b in bits))
 
 
-def stars(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+def stars(distinct: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
     """Edges (a, b), a <> b, between fingerprints such that linked ones are connected.
 
     distinct: one column, fingerprint. The sample behind the tree is the SAMPLE fingerprints of
@@ -180,12 +180,12 @@ def stars(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     total = distinct.count()
     sample = distinct.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(SAMPLE).toArrow().column(0).to_numpy()
-    router = Router(sample.astype(np.int64).view(np.uint64), total, radius)
+    router = Router(sample.astype(np.int64).view(np.uint64), total, radius, leaf)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for leaf, p in router.route(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), leaf, np.int32)), pa.array(p.view(np.int64))], ["leaf", "fingerprint"])
+            for number, p in router.route(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), number, np.int32)), pa.array(p.view(np.int64))], ["leaf", "fingerprint"])
 
     def link(t: pa.Table) -> pa.Table:
         p = np.unique(t.column("fingerprint").to_numpy().view(np.uint64))
@@ -217,10 +217,10 @@ def components(edges: DataFrame) -> DataFrame:
         now = kept(small.filter("a <> b").distinct(), "small")
 
 
-def groups(found: DataFrame, radius: int = RADIUS) -> DataFrame:
+def groups(found: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
     """fingerprint, root (the group's smallest fingerprint) and component_id of each fingerprint in found(doc_id, fingerprint)."""
     distinct = kept(found.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(stars(distinct.select("fingerprint"), radius))
+    roots = components(stars(distinct.select("fingerprint"), radius, leaf))
     rooted = distinct.join(roots, distinct["fingerprint"] == roots["node"]).select("fingerprint", "first", "root")
     least = rooted.groupBy("root").agg(F.min("first").alias("component"))
     linked = rooted.join(least, "root").select("fingerprint", "root", "component")
@@ -229,10 +229,10 @@ def groups(found: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
     """doc_id, fingerprint (a signed long) and component_id, the smallest doc_id of the group, of each row."""
     found = kept(fingerprints(docs), "fingerprints")
-    return found.join(groups(found, radius).drop("root"), "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return found.join(groups(found, radius, leaf).drop("root"), "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:

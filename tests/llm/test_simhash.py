@@ -33,10 +33,8 @@ def brute_groups(rows):
     return sorted((d, f"{f:016x}", least[g]) for (d, _), f, g in zip(rows, fps, of, strict=True))
 
 
-@pytest.mark.parametrize("sizes", [(8192, 1024, 131072), (16, 8, 131072), (40, 4, 8)])
-def test_groups_equal_brute_force(spark, tmp_path, monkeypatch, sizes):
-    for name, n in zip(("LEAF", "DIRECT", "PROBED"), sizes, strict=True):
-        monkeypatch.setattr(s, name, n)
+@pytest.mark.parametrize("leaf", [8192, 40])
+def test_groups_equal_brute_force(spark, leaf):
     r = random.Random(5)
     words = [f"w{i}" for i in range(300)]
     rows = [(i, " ".join(r.choices(words, k=r.randint(1, 60)))) for i in range(120)]
@@ -45,9 +43,12 @@ def test_groups_equal_brute_force(spark, tmp_path, monkeypatch, sizes):
         w[r.randrange(len(w))] = r.choice(["X", "y", "É"])
         rows.append((i, " ".join(w) if i % 3 else r.choice(rows)[1].upper()))
     rows += [(300, ""), (301, None), (302, " \n"), (303, "a"), (303, "a"), (299, "x y " * 20000)]
-    path = str(tmp_path / "documents.parquet")
-    spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, fingerprint int").write.parquet(path)
-    assert sorted(map(tuple, s.op4_simhash_vptree(spark, str(tmp_path)).collect())) == brute_groups(rows)
+    docs = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, fingerprint int")
+    got = s.near_duplicates(docs, leaf=leaf).collect()
+    assert sorted((r.doc_id, f"{r.fingerprint % 2**64:016x}", r.component_id) for r in got) == brute_groups(rows)
+    if leaf < 100:
+        sample = np.array([int(f, 16) for _, f, _ in brute_groups(rows)], np.uint64)
+        assert s.Router(np.unique(sample), len(np.unique(sample)), leaf=leaf).leaves > 3
 
 
 def test_dense_ball_and_probing():
