@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.plans import reconcile
+from lectern.plans import groups, ordered, reconcile, textual
 
-MODULES = (reconcile,)
+MODULES = (reconcile, groups, ordered, textual)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

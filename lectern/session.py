@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +26,11 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df.checkpoint() in the folder that the cluster names in spark.checkpoint.dir; a folder of its own where none is set (tests)."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lectern-"))
+    return df.checkpoint()
