@@ -81,5 +81,5 @@ def references(text: Column) -> Column:
 def points_without_total(marks: Column) -> Column:
     """[n, 1, 1, ...] with n ones is a total and its points: the total alone counts."""
     rest = F.slice(marks, 2, F.greatest(F.size(marks) - 1, F.lit(0)))
-    is_total = (F.size(marks) > 1) & (marks[0] == F.aggregate(rest, F.lit(0), lambda a, x: a + x)) & F.forall(rest, lambda x: x == 1)
-    return F.when(is_total & (marks[0] > 1), F.slice(marks, 1, 1)).otherwise(marks)
+    is_total = (F.size(marks) > 1) & (F.get(marks, 0) == F.aggregate(rest, F.lit(0), lambda a, x: a + x)) & F.forall(rest, lambda x: x == 1)
+    return F.when(is_total & (F.get(marks, 0) > 1), F.slice(marks, 1, 1)).otherwise(marks)

@@ -51,7 +51,7 @@ def markdown_table(spark: SparkSession, path: str, section: str) -> DataFrame:
     rows = F.filter(F.split(body, "\n"), lambda x: F.trim(x).startswith("|"))
     t = spark.read.text(path, wholetext=True).select(F.posexplode(rows).alias("row", "text")).filter("row > 1")
     inner = F.regexp_replace(F.trim("text"), r"^\||\|$", "")
-    return t.select((F.col("row") - 2).alias("row"), F.transform(F.split(inner, r"\|"), F.trim).alias("cells"))
+    return t.select((F.col("row") - 2).alias("row"), F.transform(F.split(inner, r"\|"), lambda c: F.trim(c)).alias("cells"))
 
 
 def key_space(spark: SparkSession, years: range, series: list[str], variants: list[int]) -> DataFrame:
