@@ -91,19 +91,19 @@ class Rule:
 
     name: str
     bad: str
-    good: str
+    good: str = "false"
 
 
 #: Shares are compared in whole numbers, so that no rounding decides a vote.
 RULES = (
-    Rule("length", "n_words < 10", "n_words >= 25"),
-    Rule("symbols", "100 * n_symbols > 5 * word_chars", "100 * n_symbols <= word_chars"),
-    Rule("capitals", "n_letters >= 20 and 100 * n_capitals > 40 * n_letters", "n_letters >= 20 and 100 * n_capitals <= 15 * n_letters"),
-    Rule("word_length", "word_chars > 14 * n_words or 2 * word_chars < 5 * n_words", "word_chars between 3 * n_words and 9 * n_words"),
-    Rule("repetition", "100 * n_repeat_words > 20 * n_words", "100 * n_repeat_words <= 5 * n_words"),
-    Rule("lines", "n_lines >= 3 and 100 * n_dup_lines > 30 * n_lines", "n_lines >= 3 and 100 * n_dup_lines <= 10 * n_lines"),
+    Rule("length", "n_words < 10", "n_words >= 50"),
+    Rule("symbols", "100 * n_symbols > 5 * word_chars"),
+    Rule("capitals", "n_letters >= 20 and 100 * n_capitals > 40 * n_letters"),
+    Rule("word_length", "word_chars > 14 * n_words or 2 * word_chars < 5 * n_words"),
+    Rule("repetition", "100 * n_repeat_words > 20 * n_words"),
+    Rule("lines", "n_lines >= 3 and 100 * n_dup_lines > 30 * n_lines"),
     Rule("sentences", "n_words >= 50 and (100 * n_ends < n_words or 100 * n_ends > 50 * n_words)", "100 * n_ends between 2 * n_words and 30 * n_words"),
-    Rule("digits", "100 * n_digits > 30 * word_chars", "100 * n_digits <= 10 * word_chars"),
+    Rule("digits", "100 * n_digits > 50 * word_chars"),
 )
 
 
@@ -113,58 +113,75 @@ def vote(rule: Rule) -> Column:
 
 @dataclass(frozen=True)
 class Estimate:
-    """share: of good texts; by rule, the probabilities of votes -1, 0 and 1 on good and on bad texts."""
+    """By class (good, then a kind of bad for each rule): its share, and by rule the probabilities of votes -1, 0 and 1."""
 
-    share: float
-    on_good: tuple[tuple[float, float, float], ...]
-    on_bad: tuple[tuple[float, float, float], ...]
+    shares: tuple[float, ...]
+    votes: tuple[tuple[tuple[float, float, float], ...], ...]
 
     def posterior(self, votes: list[str]) -> Column:
         """Probability of good from the vote columns."""
-        odds = F.lit(log(self.share / (1 - self.share)))
-        for name, g, b in zip(votes, self.on_good, self.on_bad, strict=True):
-            r = [log(g[v] / b[v]) for v in range(3)]
-            odds = odds + F.when(F.col(name) == -1, r[0]).when(F.col(name) == 0, r[1]).otherwise(r[2])
-        return 1 / (1 + F.exp(-odds))
-
-
-#: One step: the votes of each pattern weighed by class (q), and from them share, on_good and on_bad.
+        weights = []
+        for share, rules in zip(self.shares, self.votes, strict=True):
+            w = F.lit(log(share))
+            for name, p in zip(votes, rules, strict=True):
+                low, none, high = (log(max(x, 1e-12)) for x in p)
+                w = w + F.when(F.col(name) == -1, low).when(F.col(name) == 0, none).otherwise(high)
+            weights.append(w)
+        return F.expr("1D") / sum((F.exp(F.least(w - weights[0], F.lit(700.0))) for w in weights[1:]), F.lit(1.0))
+
+
+#: How often the votes of class c hold vote k, over all patterns p with their class weights w.
+_HELD = "aggregate(q, 0D, (x, e) -> x + if(array_contains(e.votes, k), e.w[c], 0D))"
+_SUM = "aggregate(q, 0D, (x, e) -> x + e.w[c])"
+#: One step: from the class weights of all patterns (q) to shares and vote probabilities.
 _MAXIMISED = """
 named_struct(
-  'share', (aggregate(q, 0D, (x, e) -> x + e.good) + 1) / (aggregate(q, 0D, (x, e) -> x + e.good + e.bad) + 2),
-  'on_good', transform(sequence(0, {last}), k -> (aggregate(q, 0D, (x, e) -> x + if(array_contains(e.votes, k), e.good, 0D)) + {prior})
-                                                / (aggregate(q, 0D, (x, e) -> x + e.good) + 3 * {prior})),
-  'on_bad', transform(sequence(0, {last}), k -> (aggregate(q, 0D, (x, e) -> x + if(array_contains(e.votes, k), e.bad, 0D)) + {prior})
-                                               / (aggregate(q, 0D, (x, e) -> x + e.bad) + 3 * {prior})))"""
-_WEIGHED = "named_struct('good', p.n * g, 'bad', p.n * (1 - g), 'votes', p.votes)"
-_POSTERIOR = "1 / (1 + exp(ln(1 - s.share) - ln(s.share) + aggregate(p.votes, 0D, (x, k) -> x + ln(s.on_bad[k]) - ln(s.on_good[k]))))"
+  'shares', transform(sequence(0, {rules}), c -> ({sum} + 1) / (total + {rules} + 1)),
+  'p', transform(sequence(0, {rules}), c -> transform(sequence(0, {last}), k -> if(c > 0 and k div 3 = c - 1, broken[k],
+         ({held} + if(c = 0, total * sound[k], margin[k])) / ({sum} + if(c = 0, total, 1D))))))"""
+_START = "if(exists(p.votes, v -> v % 3 = 0), if(c = 0, 0.1D, if(array_contains(p.votes, 3 * (c - 1)), 0.9D / size(filter(p.votes, v -> v % 3 = 0)), 0D)), if(c = 0, 0.95D, 0.05D / {rules}))"
+_LOG = "ln(s.shares[c]) + aggregate(p.votes, 0D, (x, v) -> x + ln(greatest(s.p[c][v], 1e-12D)))"
+_WEIGHED = """
+transform(array(transform(sequence(0, {rules}), c -> {log})), z ->
+  transform(array(transform(z, x -> exp(x - array_max(z)))), e -> transform(e, x -> p.n * x / aggregate(e, 0D, (a, y) -> a + y)))[0])[0]"""
 _EM = """
 aggregate(sequence(1, {rounds}),
-  transform(array(transform(patterns, p -> transform(array(if(exists(p.votes, k -> k % 3 = 0), 0.1D, 0.95D)), g -> {weighed})[0])), q -> {maximised})[0],
-  (s, i) -> transform(array(transform(patterns, p -> transform(array({posterior}), g -> {weighed})[0])), q -> {maximised})[0])"""
+  transform(array(transform(patterns, p -> named_struct('votes', p.votes, 'w', transform(sequence(0, {rules}), c -> p.n * {start})))), q -> {maximised})[0],
+  (s, i) -> transform(array(transform(patterns, p -> named_struct('votes', p.votes, 'w', {weighed}))), q -> {maximised})[0])"""
 
 
-def estimate(seen: DataFrame, votes: list[str], rounds: int = 40, prior: float = 0.5) -> Estimate | None:
+def estimate(seen: DataFrame, votes: list[str], rounds: int = 40, false_alarms: float = 0.002) -> Estimate | None:
     """EM over the vote patterns of seen; None if there are no rows.
 
+    The classes are good texts and, for each rule, the kind of bad that it knows: bad texts of one
+    kind seldom break the rules made for another, so one class for all would follow the largest
+    kind and take the others for good. A kind's own rule sees nine of ten of its texts. A text
+    starts as bad of the kinds whose rules it breaks.
+    Good texts break a rule with probability false_alarms beforehand, with the weight of the whole
+    corpus: a rule that fires about as seldom as that, or along with votes for good, is not believed.
+
     All rounds are one expression over the array of patterns, of which there are 3 ** len(votes)
-    at most; only the estimates come to the driver. It starts from "a bad vote from any rule means
-    bad", which settles which class is which. prior: observations added to each vote's count, so
-    that no probability is 0.
+    at most; only the estimates come to the driver.
     """
+    n, last = len(votes), 3 * len(votes) - 1
     at = F.array(*(F.col(v) + 1 + 3 * j for j, v in enumerate(votes)))
     patterns = (
         seen.groupBy(*votes)
         .agg(F.count(F.lit(1)).cast("double").alias("n"))
         .agg(F.array_sort(F.collect_list(F.struct("n", at.alias("votes")))).alias("patterns"))
+        .filter(F.size("patterns") > 0)
+        .select("patterns", F.expr("aggregate(patterns, 0D, (x, p) -> x + p.n)").alias("total"))
+        .select("*", F.expr(f"transform(sequence(0, {last}), k -> aggregate(patterns, 0D, (x, p) -> x + if(array_contains(p.votes, k), p.n, 0D)) / total)").alias("margin"))
     )
-    m = _MAXIMISED.format(last=3 * len(votes) - 1, prior=float(prior))
-    em = _EM.format(rounds=rounds, weighed=_WEIGHED, maximised=m, posterior=_POSTERIOR)
-    found = patterns.filter(F.size("patterns") > 0).select(F.expr(em).alias("e")).select("e.*").first()
+    firing = "transform(margin, (m, k) -> if(k % 3 = 0, {0}D, (1 - {0}D) * m / greatest(1 - margin[k - k % 3], 1e-12D)))"
+    patterns = patterns.select("*", F.expr(firing.format(false_alarms)).alias("sound"), F.expr(firing.format(0.9)).alias("broken"))
+    patterns = kept(patterns, "patterns")
+    m = _MAXIMISED.format(rules=n, last=last, held=_HELD, sum=_SUM)
+    em = _EM.format(rounds=rounds, rules=n, start=_START.format(rules=n), weighed=_WEIGHED.format(rules=n, log=_LOG), maximised=m)
+    found = patterns.select(F.expr(em).alias("e")).select("e.*").first()
     if not found:
         return None
-    by_rule = lambda p: tuple(tuple(p[3 * j : 3 * j + 3]) for j in range(len(votes)))
-    return Estimate(found["share"], by_rule(found["on_good"]), by_rule(found["on_bad"]))
+    return Estimate(tuple(found["shares"]), tuple(tuple(tuple(p[3 * j : 3 * j + 3]) for j in range(n)) for p in found["p"]))
 
 
 def judged(docs: DataFrame, least: float = 0.5, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -181,5 +198,5 @@ def judged(docs: DataFrame, least: float = 0.5, rules: tuple[Rule, ...] = RULES)
 
 def op5_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality", *(f"vote_{r.name}" for r in RULES)
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.col("quality").alias("posterior"), *(f"vote_{r.name}" for r in RULES)
     )

@@ -44,19 +44,39 @@ def test_em_equals_plain_iteration(spark):
     import random
     from math import exp, log
 
-    r = random.Random(3)
+    r, names = random.Random(3), ["a", "b", "c"]
     rows = []
     for _ in range(400):
         good = r.random() < 0.8
         rows.append(tuple(r.choices((-1, 0, 1), ((1, 4, 15) if good else (12, 4, 4)))[0] for _ in range(3)))
-    got = q.estimate(spark.createDataFrame(rows, "a int, b int, c int"), ["a", "b", "c"], rounds=15)
-    n = Counter(rows)
-    post = {p: 0.1 if -1 in p else 0.95 for p in n}
-    for i in range(16):
-        g, b = sum(n[p] * post[p] for p in n), sum(n[p] * (1 - post[p]) for p in n)
-        on_good = [[(sum(n[p] * post[p] for p in n if p[j] == v) + 0.5) / (g + 1.5) for v in (-1, 0, 1)] for j in range(3)]
-        on_bad = [[(sum(n[p] * (1 - post[p]) for p in n if p[j] == v) + 0.5) / (b + 1.5) for v in (-1, 0, 1)] for j in range(3)]
-        share = (g + 1) / (g + b + 2)
-        post = {p: 1 / (1 + exp(log(1 - share) - log(share) + sum(log(on_bad[j][v + 1] / on_good[j][v + 1]) for j, v in enumerate(p)))) for p in n}
-    assert abs(got.share - share) < 1e-9
-    assert all(abs(x - y) < 1e-9 for a, c in ((got.on_good, on_good), (got.on_bad, on_bad)) for p, w in zip(a, c) for x, y in zip(p, w))
+    got = q.estimate(spark.createDataFrame(rows, "a int, b int, c int"), names, rounds=15)
+    n, votes = Counter(rows), (-1, 0, 1)
+    margin = [[sum(n[p] for p in n if p[j] == v) / 400 for v in votes] for j in range(3)]
+    firing = lambda f: [[f if v == -1 else (1 - f) * m[v + 1] / (1 - m[0]) for v in votes] for m in margin]
+    sound, own = firing(0.002), firing(0.9)
+    weight = {}
+    for p in n:
+        broken = [j for j in range(3) if p[j] == -1]
+        weight[p] = [0.1, *(0.9 / len(broken) * (j in broken) for j in range(3))] if broken else [0.95, *[0.05 / 3] * 3]
+    for _ in range(16):
+        size = [sum(n[p] * weight[p][c] for p in n) for c in range(4)]
+        shares = [(x + 1) / 404 for x in size]
+        probs = [[[(sum(n[p] * weight[p][c] for p in n if p[j] == v) + (400 * sound[j][v + 1] if c == 0 else margin[j][v + 1])) / (size[c] + (400 if c == 0 else 1)) for v in votes] for j in range(3)] for c in range(4)]
+        for j in range(3):
+            probs[j + 1][j] = own[j]
+        for p in n:
+            z = [log(shares[c]) + sum(log(probs[c][j][p[j] + 1]) for j in range(3)) for c in range(4)]
+            e = [exp(x - max(z)) for x in z]
+            weight[p] = [x / sum(e) for x in e]
+    assert all(abs(a - b) < 1e-9 for a, b in zip(got.shares, shares))
+    assert all(abs(x - y) < 1e-9 for a, b in zip(got.votes, probs) for p, w in zip(a, b) for x, y in zip(p, w))
+    df = spark.createDataFrame(list(n), "a int, b int, c int")
+    assert all(abs(x.p - weight[x.a, x.b, x.c][0]) < 1e-6 for x in df.select("*", got.posterior(names).alias("p")).collect())
+
+
+def test_labelled_documents(spark):
+    """Nearly all good documents stay and nearly all bad ones go, though no label was seen."""
+    sf = "/root/testdata/sf0.01"
+    x = q.op5_weak_rules(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
+    assert all(r.kept for r in x if r.quality == 1 and not r.base_failed)
+    assert sum(r.kept for r in x if r.quality == 0) <= 0.05 * sum(r.quality == 0 for r in x)
