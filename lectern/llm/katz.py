@@ -296,7 +296,10 @@ def evaluated(found: DataFrame, answered: DataFrame, m: Model, parts: int) -> Da
 
 
 def backoffs(shares: DataFrame) -> DataFrame:
-    """(block, at, backoff): the logarithms of alpha that a document's unseen bigrams add, by part."""
+    """(block, at, backoff): the logarithms of alpha that a document's unseen bigrams add.
+
+    A part answers each block in one row, and a block's answers are added up in one group.
+    """
 
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by("block")
@@ -308,13 +311,20 @@ def backoffs(shares: DataFrame) -> DataFrame:
         for name, g, d, n in zip(t.column("block").to_pylist(), column("d", unpacked_keys), column("e", unpacked), column("f", unpacked), strict=True):
             if len(g):
                 sums = np.bincount(d.astype(np.int64), alpha[np.searchsorted(h, g)] * n.astype(float))
-                some = np.unique(d).astype(np.int64)
-                blocks += [name] * len(some)
-                at += some.tolist()
-                total += sums[some].tolist()
-        return pa.table({"block": pa.array(blocks, pa.string()), "at": pa.array(at, pa.int32()), "backoff": pa.array(total, pa.float64())})
+                some = np.unique(d)
+                blocks.append(name)
+                at.append(packed(some))
+                total.append(packed_doubles(sums[some.astype(np.int64)]))
+        return pa.table({"block": pa.array(blocks, pa.string()), "at": pa.array(at, pa.binary()), "backoff": pa.array(total, pa.binary())})
+
+    def add(t: pa.Table) -> pa.Table:
+        at = np.concatenate([unpacked(b.as_py()) for b in t.column("at")]).astype(np.int64)
+        sums = np.bincount(at, np.concatenate([unpacked_doubles(b.as_py()) for b in t.column("backoff")]))
+        some = np.unique(at)
+        return pa.table({"block": pa.array([t.column("block")[0].as_py()] * len(some), pa.string()), "at": pa.array(some.astype(np.int32)), "backoff": pa.array(sums[some])})
 
-    return shares.groupBy("part").applyInArrow(run, "block string, at int, backoff double")
+    by_part = shares.groupBy("part").applyInArrow(run, "block string, at binary, backoff binary")
+    return by_part.groupBy("block").applyInArrow(add, "block string, at int, backoff double")
 
 
 def scored(docs: DataFrame, block: int = BLOCK, part: int = PART) -> DataFrame:
@@ -329,8 +339,7 @@ def scored(docs: DataFrame, block: int = BLOCK, part: int = PART) -> DataFrame:
     m = model(answered, documents or 0)
     result = kept(evaluated(found, answered, m, parts), "evaluated")
     shares = result.filter("kind = 1").select("part", "block", *"abcdef")
-    more = backoffs(shares).groupBy("block", "at").agg(F.sum("backoff").alias("backoff"))
-    return result.filter("kind = 0").join(more, ["block", "at"], "left").select(
+    return result.filter("kind = 0").join(backoffs(shares), ["block", "at"], "left").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(m.tokens).cast("long").alias("train_tokens"), "base_score", (F.col("score") + F.coalesce("backoff", F.lit(0.0))).alias("score")
     )
 
