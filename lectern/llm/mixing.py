@@ -132,11 +132,12 @@ def leaf_plans(docs: DataFrame, tree: tuple[Level, ...], share: tuple[int, int],
         .groupBy(*names)
         .agg(F.max("__key").alias("last"))
     )
-    return rows, kept(planned.join(last, names, "left").select(*names, "budget", "whole", "last"), "plans")
+    out = planned.join(last, names, "left").select(*names, *(F.col(c).alias(f"__{c}") for c in ("budget", "whole", "last")))
+    return rows, kept(out, "plans")
 
 
 def copies(seed: int) -> Column:
-    return (F.col("whole") + F.when(_key(seed, F.col("whole")) <= F.col("last"), 1).otherwise(0)).cast("int")
+    return (F.col("__whole") + F.when(_key(seed, F.col("__whole")) <= F.col("__last"), 1).otherwise(0)).cast("int")
 
 
 def mixed(docs: DataFrame, tree: tuple[Level, ...] = TREE, share: tuple[int, int] = (3, 5), epochs: int = 2, seed: int = 17) -> DataFrame:
@@ -146,7 +147,7 @@ def mixed(docs: DataFrame, tree: tuple[Level, ...] = TREE, share: tuple[int, int
     """
     names = [x.name for x in tree]
     rows, plans = leaf_plans(docs, tree, share, epochs, seed)
-    return rows.join(_small(plans), names).select("doc_id", *names, "n_tokens", F.col("budget").alias("leaf_budget"), copies(seed).alias("copies"))
+    return rows.join(_small(plans), names).select("doc_id", *names, "n_tokens", F.col("__budget").alias("leaf_budget"), copies(seed).alias("copies"))
 
 
 def resampled(docs: DataFrame, tree: tuple[Level, ...] = TREE, share: tuple[int, int] = (3, 5), epochs: int = 2, seed: int = 17) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 
 from lectern.llm import mixing as m
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, copies int, domain string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, whole int, domain string"
 
 
 def deal(budget, children):
