@@ -14,9 +14,8 @@ def asof(left: DataFrame, right: DataFrame, by: list[str], order: str, values: l
     """
     names = left.columns
     tie = F.col(ties) if ties else F.lit(0)
-    a = left.withColumns({"__right": F.lit(False), "__tie": F.lit(None).cast("string"), "__value": F.lit(None).cast(right.select(F.struct(*values)).schema[0].dataType)})
+    a = left.withColumn("__right", F.lit(False))
     b = right.select(*by, order, F.lit(True).alias("__right"), tie.alias("__order"), F.struct(*values).alias("__value"))
-    a = a.drop("__tie").withColumn("__order", F.lit(None).cast(b.schema["__order"].dataType))
     w = Window.partitionBy(*by).orderBy(F.col(order), F.col("__right").desc(), F.col("__order").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     both = a.unionByName(b, allowMissingColumns=True).withColumn("__last", F.last("__value", ignorenulls=True).over(w))
     return both.filter(~F.col("__right")).select(*names, *(F.col("__last")[v].alias(v) for v in values))
@@ -25,7 +24,7 @@ def asof(left: DataFrame, right: DataFrame, by: list[str], order: str, values: l
 def nearest(left: DataFrame, right: DataFrame, by: list[str], order: str, value: str) -> DataFrame:
     """left with value and distance of the nearest right row on either side; the earlier of equals. order is a number."""
     names = left.columns
-    a = left.withColumns({"__right": F.lit(False), "__v": F.lit(None).cast(right.schema[value].dataType), "__at": F.lit(None).cast(left.schema[order].dataType)})
+    a = left.withColumn("__right", F.lit(False))
     b = right.select(*by, order, F.lit(True).alias("__right"), F.col(value).alias("__v"), F.col(order).alias("__at"))
     w = Window.partitionBy(*by).orderBy(order, "__v")
     both = a.unionByName(b, allowMissingColumns=True)
