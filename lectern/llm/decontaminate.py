@@ -43,7 +43,7 @@ def tokens(text: str | None) -> list[str]:
 
 def shingle_hashes(words: list[str], k: int) -> np.ndarray:
     """A 64-bit hash of each run of k words."""
-    h = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     n = len(words) - k + 1
     if n < 1:
         return np.empty(0, np.uint64)
@@ -124,7 +124,8 @@ class Items:
         """item_id, first word, similarity and distance of the best window of each item found; the first of equals."""
         h = shingle_hashes(words, self.k)
         some = np.flatnonzero(self.maybe[h & np.uint64((1 << 20) - 1)])
-        hits = some[np.isin(h[some], self.known)]
+        at_known = np.minimum(np.searchsorted(self.known, h[some]), len(self.known) - 1)
+        hits = some[self.known[at_known] == h[some]]
         at: dict[int, list[int]] = defaultdict(list)
         for i in hits.tolist():
             for size in self.lengths_at[int(h[i])]:
