@@ -26,7 +26,7 @@ def corpus():
     words = [f"w{i}" for i in range(150)]
     items = [(i, " ".join(r.choices(words, k=r.randint(12, 55)))) for i in range(25)] + [(90, "short item"), (91, ""), (92, None), (93, "short item")]
     docs = []
-    for i in range(160):
+    for i in range(70):
         text = r.choices(words, k=r.randint(0, 120))
         if i % 2:
             passage = r.choice(items[:25])[1].split()
@@ -35,7 +35,7 @@ def corpus():
             at = r.randrange(len(text) + 1)
             text[at:at] = passage
         docs.append((i, " ".join(text) if i % 3 else ", ".join(text).upper()))
-    docs += [(200, None), (201, ""), (202, items[3][1]), (203, " ".join(items[3][1].split()[1:])), (203, " ".join(items[3][1].split()[1:])), (204, "A Short, item!"), (205, (items[5][1] + " x ") * 300)]
+    docs += [(200, None), (201, ""), (202, items[3][1]), (203, " ".join(items[3][1].split()[1:])), (203, " ".join(items[3][1].split()[1:])), (204, "A Short, item!"), (205, (items[5][1] + " x ") * 12)]
     return docs, items
 
 
@@ -47,14 +47,15 @@ def test_pairs_equal_brute_force(spark):
     ).collect()
     want = sorted((i, j, round(s, 9)) for i, t in docs for j, b in items if (s := brute(t, b)) >= 0.8)
     assert sorted((r.doc_id, r.item_id, round(r.similarity, 9)) for r in got) == want
-    assert len(want) > 20 and all(r.distance <= d.RADIUS for r in got)
+    assert len(want) > 6 and all(r.distance <= d.RADIUS for r in got)
 
 
 def test_parts_and_filter(spark):
     docs, items = corpus()
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     whole = [m for _, t in docs for m in d.Benchmark(items).matches(t)]
-    split = [m for _, t in docs for p in d.parts(benchmark, 1000) for m in p.matches(t)]
+    some = list(d.parts(benchmark, 1000))
+    split = [m for _, t in docs for p in some for m in p.matches(t)]
     assert sorted(whole) == sorted(split)
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     bad = {i for i, t in docs for j, b in items if brute(t, b) >= 0.8}
