@@ -155,7 +155,7 @@ ORACLES = {
     "interval_merge": """
         WITH x AS (SELECT l_suppkey, l_orderkey % 500 * 10 AS low, l_orderkey % 500 * 10 + l_quantity::BIGINT % 9 AS high FROM lineitem),
              f AS (SELECT *, CASE WHEN low <= max(high) OVER (PARTITION BY l_suppkey ORDER BY low, high ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 2 THEN 0 ELSE 1 END AS f FROM x),
-             g AS (SELECT *, sum(f) OVER (PARTITION BY l_suppkey ORDER BY low, high ROWS UNBOUNDED PRECEDING) AS g FROM f)
+             g AS (SELECT *, sum(f) OVER (PARTITION BY l_suppkey ORDER BY low, high) AS g FROM f)
         SELECT l_suppkey, min(low) AS low, max(high) AS high, count(*) AS n FROM g GROUP BY l_suppkey, g""",
     "sequence_gaps": """
         SELECT DISTINCT o.l_orderkey, r.n AS missing FROM (SELECT l_orderkey, max(l_linenumber) AS m FROM lineitem GROUP BY 1) o, range(1, 100) r(n)
