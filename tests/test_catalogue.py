@@ -1,4 +1,4 @@
-"""Every query against its SQL at the smallest scale, values and types of columns."""
+"""Every query against its SQL at the smallest scale, values and names of columns."""
 
 import math
 
