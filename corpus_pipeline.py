@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import compression, decontaminate, mixing, sharding, simhash
+from lectern.llm import compression, decontaminate, mixing, nearcopies, sharding
 from lectern.llm._common import kept
 
 
@@ -15,8 +15,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.deduplicated(docs)
+    """One document of each group linked by a similarity of 0.8 or more of five-word shingles."""
+    return nearcopies.deduplicated(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -250,8 +250,13 @@ def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found.view(np.int64))], [*b.schema.names, name])
 
     marked = kept(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])), "marked")
-    found = marked.select(F.col(docs.columns[id_at]).alias("id"), F.col(name).alias("fingerprint"))
-    of = groups(found.withColumnRenamed("id", "doc_id"), radius).select("fingerprint", "root")
+    found = marked.select(F.col(docs.columns[id_at]).alias("doc_id"), F.col(name).alias("fingerprint"))
+    return one_a_group(marked, found, groups(found, radius).select("fingerprint", "root"), name)
+
+
+def one_a_group(marked: DataFrame, found: DataFrame, of: DataFrame, name: str) -> DataFrame:
+    """One row of marked per root of of(fingerprint, root), without the column name, which holds the fingerprint; found: doc_id and fingerprint of marked."""
+    found = found.withColumnRenamed("doc_id", "id")
     keys = kept(found.groupBy("id", "fingerprint").agg(F.count(F.lit(1)).alias("n")).join(of, "fingerprint"), "keys")
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "fingerprint")
     stays = keys.groupBy("root").agg(F.min(order).alias("stay"))
