@@ -48,7 +48,7 @@ class Level:
 
 
 TREE = (
-    Level("domain", "CASE CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'books' WHEN 2 THEN 'reference' END", {"web": 5, "books": 3, "reference": 2}),
+    Level("domain", "CASE try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'books' WHEN 2 THEN 'reference' END", {"web": 5, "books": 3, "reference": 2}),
     Level("lang", "lang", {"en": 6, "de": 2}),
     Level("source", "source"),
 )
