@@ -1,6 +1,6 @@
 """Quality rules as weak supervision: each rule votes good, votes bad or abstains, expectation-
 maximisation over the corpus' vote patterns estimates how each rule votes on good and on bad
-texts, and the posterior probability of good decides. All of it is DataFrame expressions.
+texts, and the posterior probability of good decides: no rule does alone. All of it is DataFrame expressions.
 
 The counts that EM needs are per vote pattern: at most 3 ** number of rules rows, whatever the
 corpus. EM runs over them as one expression; the driver gets the estimates only.
@@ -55,9 +55,16 @@ def repeated_words(w: Column) -> Column:
     )
 
 
-def _left(text: Column, pattern: str) -> Column:
-    """Characters of text besides those of pattern."""
-    return F.length(F.regexp_replace(text, pattern, "")).cast("long")
+SYMBOLS = "#*$%&|<>"
+
+
+def _without(text: Column, characters: str) -> Column:
+    """How many of these characters text has."""
+    return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("long")
+
+
+def _only(text: Column, others: str) -> Column:
+    return F.regexp_replace(text, others, "")
 
 
 def signals(text: Column) -> Column:
@@ -65,22 +72,23 @@ def signals(text: Column) -> Column:
     some = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(some, "\n", -1), lambda x: x.rlike(NOT_SPACE))
     ends = lambda w: F.size(F.filter(w, lambda x: F.right(x, F.lit(1)).isin(".", "!", "?", "。")))
+    symbols = _without(some, SYMBOLS)
+    letters = F.struct(F.length(_only(some, r"\P{L}+")).cast("long").alias("n"), F.length(_only(some, r"\P{Lu}+")).cast("long").alias("capitals"))
     return let(
-        words(text),
-        lambda w: let(
-            lines,
-            lambda x: F.struct(
-                F.size(w).cast("long").alias("n_words"),
-                F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-                _left(some, "[^#*$%&|<>]+").alias("n_symbols"),
-                (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-                repeated_words(w).cast("long").alias("n_repeat_words"),
-                F.size(x).cast("long").alias("n_lines"),
-                ends(w).cast("long").alias("n_ends"),
-                _left(some, r"\P{L}+").alias("n_letters"),
-                _left(some, r"\P{Lu}+").alias("n_capitals"),
-                _left(some, "[^0-9]+").alias("n_digits"),
-            ),
+        F.struct(words(text).alias("w"), lines.alias("lines"), letters.alias("letters")),
+        lambda x: F.struct(
+            F.size(x["w"]).cast("long").alias("n_words"),
+            F.length(F.array_join(x["w"], "")).cast("long").alias("word_chars"),
+            symbols.alias("n_symbols"),
+            (F.size(x["lines"]) - F.size(F.array_distinct(x["lines"]))).cast("long").alias("n_dup_lines"),
+            repeated_words(x["w"]).cast("long").alias("n_repeat_words"),
+            F.size(x["lines"]).cast("long").alias("n_lines"),
+            ends(x["w"]).cast("long").alias("n_ends"),
+            F.size(F.array_distinct(x["w"])).cast("long").alias("n_distinct"),
+            F.when(symbols > 0, F.regexp_count(some, F.lit(f"[{SYMBOLS}]+"))).otherwise(0).cast("long").alias("n_runs"),
+            x["letters"]["n"].alias("n_letters"),
+            x["letters"]["capitals"].alias("n_capitals"),
+            _without(some, "0123456789").alias("n_digits"),
         ),
     )
 
@@ -96,14 +104,16 @@ class Rule:
 
 #: Shares are compared in whole numbers, so that no rounding decides a vote.
 RULES = (
-    Rule("length", "n_words < 10", "n_words >= 50"),
-    Rule("symbols", "100 * n_symbols > 5 * word_chars"),
-    Rule("capitals", "n_letters >= 20 and 100 * n_capitals > 40 * n_letters"),
-    Rule("word_length", "word_chars > 14 * n_words or 2 * word_chars < 5 * n_words"),
-    Rule("repetition", "100 * n_repeat_words > 20 * n_words"),
-    Rule("lines", "n_lines >= 3 and 100 * n_dup_lines > 30 * n_lines"),
-    Rule("sentences", "n_words >= 50 and (100 * n_ends < n_words or 100 * n_ends > 50 * n_words)", "100 * n_ends between 2 * n_words and 30 * n_words"),
-    Rule("digits", "100 * n_digits > 50 * word_chars"),
+    Rule("length", "n_words < 50", "n_words >= 50"),
+    Rule("symbols", "100 * n_symbols > 5 * word_chars", "200 * n_symbols <= word_chars"),
+    Rule("symbol_runs", "n_words >= 10 and 100 * n_runs > 10 * n_words", "100 * n_runs <= n_words"),
+    Rule("capitals", "n_letters >= 20 and 100 * n_capitals > 40 * n_letters", "n_letters >= 20 and 100 * n_capitals <= 15 * n_letters"),
+    Rule("word_length", "word_chars > 14 * n_words or 2 * word_chars < 5 * n_words", "word_chars between 4 * n_words and 9 * n_words"),
+    Rule("repetition", "100 * n_repeat_words > 20 * n_words", "n_words >= 20 and 100 * n_repeat_words <= n_words"),
+    Rule("lines", "n_dup_lines > 0", "n_lines >= 3"),
+    Rule("sentences", "n_words >= 20 and (100 * n_ends < 2 * n_words or 100 * n_ends > 40 * n_words)", "n_words >= 20 and 100 * n_ends between 4 * n_words and 25 * n_words"),
+    Rule("digits", "100 * n_digits > 20 * word_chars", "100 * n_digits <= 2 * word_chars"),
+    Rule("diversity", "n_words >= 50 and 100 * n_distinct < 20 * n_words", "n_words >= 50 and 100 * n_distinct >= 40 * n_words"),
 )
 
 
@@ -113,75 +123,58 @@ def vote(rule: Rule) -> Column:
 
 @dataclass(frozen=True)
 class Estimate:
-    """By class (good, then a kind of bad for each rule): its share, and by rule the probabilities of votes -1, 0 and 1."""
+    """The share of good texts, and by rule how often a vote that it casts is `bad` on bad and on good texts."""
 
-    shares: tuple[float, ...]
-    votes: tuple[tuple[tuple[float, float, float], ...], ...]
+    share: float
+    on_bad: tuple[float, ...]
+    on_good: tuple[float, ...]
 
     def posterior(self, votes: list[str]) -> Column:
         """Probability of good from the vote columns."""
-        weights = []
-        for share, rules in zip(self.shares, self.votes, strict=True):
-            w = F.lit(log(share))
-            for name, p in zip(votes, rules, strict=True):
-                low, none, high = (log(max(x, 1e-12)) for x in p)
-                w = w + F.when(F.col(name) == -1, low).when(F.col(name) == 0, none).otherwise(high)
-            weights.append(w)
-        return F.expr("1D") / sum((F.exp(F.least(w - weights[0], F.lit(700.0))) for w in weights[1:]), F.lit(1.0))
-
-
-#: How often the votes of class c hold vote k, over all patterns p with their class weights w.
-_HELD = "aggregate(q, 0D, (x, e) -> x + if(array_contains(e.votes, k), e.w[c], 0D))"
-_SUM = "aggregate(q, 0D, (x, e) -> x + e.w[c])"
-#: One step: from the class weights of all patterns (q) to shares and vote probabilities.
-_MAXIMISED = """
+        z = F.lit(log(1 - self.share) - log(self.share))
+        for name, b, g in zip(votes, self.on_bad, self.on_good, strict=True):
+            z = z + F.when(F.col(name) == -1, log(b) - log(g)).when(F.col(name) == 1, log(1 - b) - log(1 - g)).otherwise(0.0)
+        return 1 / (1 + F.exp(F.least(z, F.lit(700.0))))
+
+
+#: Beforehand a vote is `bad` this often on bad and on good texts, with the weight of so many texts, whatever the corpus.
+PRIOR_BAD, PRIOR_GOOD, PRIOR_WEIGHT = 0.5, 0.02, 10.0
+#: A text starts as good with these probabilities by its number of votes for bad: none, one, more.
+START = (0.98, 0.5, 0.05)
+_START = f"element_at(array({', '.join(f'{x}D' for x in START)}), least(size(filter(p.votes, v -> v = -1)), 2) + 1)"
+_Z = "aggregate(sequence(1, {rules}), ln((1 - s.share) / s.share), (z, j) -> z + CASE p.votes[j - 1] WHEN -1 THEN ln(s.b[j - 1] / s.g[j - 1]) WHEN 1 THEN ln((1 - s.b[j - 1]) / (1 - s.g[j - 1])) ELSE 0D END)"
+#: Of the weight that rule j's votes have in a class, the part of its votes for bad.
+_RATE = f"(aggregate(q, 0D, (x, e) -> x + if(e.votes[j] = -1, {{w}}, 0D)) + {PRIOR_WEIGHT}D * {{prior}}D) / (aggregate(q, 0D, (x, e) -> x + if(e.votes[j] <> 0, {{w}}, 0D)) + {PRIOR_WEIGHT}D)"
+_MAXIMISED = f"""
 named_struct(
-  'shares', transform(sequence(0, {rules}), c -> ({sum} + 1) / (total + {rules} + 1)),
-  'p', transform(sequence(0, {rules}), c -> transform(sequence(0, {last}), k -> if(c > 0 and k div 3 = c - 1, broken[k],
-         ({held} + if(c = 0, total * sound[k], margin[k])) / ({sum} + if(c = 0, total, 1D))))))"""
-_START = "if(exists(p.votes, v -> v % 3 = 0), if(c = 0, 0.1D, if(array_contains(p.votes, 3 * (c - 1)), 0.9D / size(filter(p.votes, v -> v % 3 = 0)), 0D)), if(c = 0, 0.95D, 0.05D / {rules}))"
-_LOG = "ln(s.shares[c]) + aggregate(p.votes, 0D, (x, v) -> x + ln(greatest(s.p[c][v], 1e-12D)))"
-_WEIGHED = """
-transform(array(transform(sequence(0, {rules}), c -> {log})), z ->
-  transform(array(transform(z, x -> exp(x - array_max(z)))), e -> transform(e, x -> p.n * x / aggregate(e, 0D, (a, y) -> a + y)))[0])[0]"""
-_EM = """
-aggregate(sequence(1, {rounds}),
-  transform(array(transform(patterns, p -> named_struct('votes', p.votes, 'w', transform(sequence(0, {rules}), c -> p.n * {start})))), q -> {maximised})[0],
-  (s, i) -> transform(array(transform(patterns, p -> named_struct('votes', p.votes, 'w', {weighed}))), q -> {maximised})[0])"""
-
-
-def estimate(seen: DataFrame, votes: list[str], rounds: int = 40, false_alarms: float = 0.002) -> Estimate | None:
+  'share', (aggregate(q, 0D, (x, e) -> x + e.n * e.w) + 1) / (aggregate(q, 0D, (x, e) -> x + e.n) + 2),
+  'b', transform(sequence(0, {{rules}} - 1), j -> {_RATE.format(w="e.n * (1 - e.w)", prior=PRIOR_BAD)}),
+  'g', transform(sequence(0, {{rules}} - 1), j -> {_RATE.format(w="e.n * e.w", prior=PRIOR_GOOD)}))"""
+_EM = f"""
+aggregate(sequence(1, {{rounds}}),
+  transform(array(transform(patterns, p -> named_struct('votes', p.votes, 'n', p.n, 'w', {_START}))), q -> {_MAXIMISED})[0],
+  (s, i) -> transform(array(transform(patterns, p -> named_struct('votes', p.votes, 'n', p.n, 'w', 1 / (1 + exp(least({_Z}, 700D)))))), q -> {_MAXIMISED})[0])"""
+
+
+def estimate(seen: DataFrame, votes: list[str], rounds: int = 60) -> Estimate | None:
     """EM over the vote patterns of seen; None if there are no rows.
 
-    The classes are good texts and, for each rule, the kind of bad that it knows: bad texts of one
-    kind seldom break the rules made for another, so one class for all would follow the largest
-    kind and take the others for good. A kind's own rule sees nine of ten of its texts. A text
-    starts as bad of the kinds whose rules it breaks.
-    Good texts break a rule with probability false_alarms beforehand, with the weight of the whole
-    corpus: a rule that fires about as seldom as that, or along with votes for good, is not believed.
+    A text is good or bad; rules vote independently of one another given which. A rule that abstains
+    says nothing. All rates are estimated and none is held: the prior weighs as much as
+    PRIOR_WEIGHT texts. A rule is believed as far as others agree with it, so that of a rule
+    that fires about as often where others vote for good, a single vote is outweighed.
 
     All rounds are one expression over the array of patterns, of which there are 3 ** len(votes)
     at most; only the estimates come to the driver.
     """
-    n, last = len(votes), 3 * len(votes) - 1
-    at = F.array(*(F.col(v) + 1 + 3 * j for j, v in enumerate(votes)))
     patterns = (
         seen.groupBy(*votes)
         .agg(F.count(F.lit(1)).cast("double").alias("n"))
-        .agg(F.array_sort(F.collect_list(F.struct("n", at.alias("votes")))).alias("patterns"))
+        .agg(F.array_sort(F.collect_list(F.struct("n", F.array(*votes).alias("votes")))).alias("patterns"))
         .filter(F.size("patterns") > 0)
-        .select("patterns", F.expr("aggregate(patterns, 0D, (x, p) -> x + p.n)").alias("total"))
-        .select("*", F.expr(f"transform(sequence(0, {last}), k -> aggregate(patterns, 0D, (x, p) -> x + if(array_contains(p.votes, k), p.n, 0D)) / total)").alias("margin"))
     )
-    firing = "transform(margin, (m, k) -> if(k % 3 = 0, {0}D, (1 - {0}D) * m / greatest(1 - margin[k - k % 3], 1e-12D)))"
-    patterns = patterns.select("*", F.expr(firing.format(false_alarms)).alias("sound"), F.expr(firing.format(0.9)).alias("broken"))
-    patterns = kept(patterns, "patterns")
-    m = _MAXIMISED.format(rules=n, last=last, held=_HELD, sum=_SUM)
-    em = _EM.format(rounds=rounds, rules=n, start=_START.format(rules=n), weighed=_WEIGHED.format(rules=n, log=_LOG), maximised=m)
-    found = patterns.select(F.expr(em).alias("e")).select("e.*").first()
-    if not found:
-        return None
-    return Estimate(tuple(found["shares"]), tuple(tuple(tuple(p[3 * j : 3 * j + 3]) for j in range(n)) for p in found["p"]))
+    found = kept(patterns, "patterns").select(F.expr(_EM.format(rounds=rounds, rules=len(votes))).alias("e")).select("e.*").first()
+    return Estimate(found["share"], tuple(found["b"]), tuple(found["g"])) if found else None
 
 
 def judged(docs: DataFrame, least: float = 0.5, rules: tuple[Rule, ...] = RULES) -> DataFrame:
