@@ -14,12 +14,15 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, what the context was given,
+    or for a single process (tests) a folder of its own; on a cluster that is an error."""
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="lectern-")
-        spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="lectern-"))
+        found = sc.getCheckpointDir()
     return found
 
 
