@@ -2,13 +2,15 @@
 labelled texts, makes a text smaller.
 
 Texts are compressed whole, in blocks of BLOCK bytes so that the dictionary and not the text's own
-past decides, once with each dictionary. The difference of the two total sizes over their sum is
-the evidence; a logistic fit on labelled rows outside the dictionaries' samples turns it into a
-probability. The fit also sees the logarithm of compressed over plain size, as a text of a few
-words said again and again is small under either dictionary.
+past decides, once with each dictionary. The difference of the two sizes over the plain size is the
+evidence, and the only one: a text of a few words said again and again is small under either
+dictionary, so its difference is near nothing, as it is not of good texts. Isotonic regression on
+labelled rows outside the dictionaries' samples turns the evidence into a probability, with one
+hundredth of a logistic fit to tell apart what it gives equal values.
 
-The model comes from a bounded sample: for each label the `per_label` rows of lowest hash, with
-texts of at most LONGEST bytes; two thirds of them train dictionaries, the others the fit.
+The model comes from a bounded sample: for each label the `per_label` labels of lowest hash, one
+third of them for the fit, and for a dictionary the `blocks` blocks of lowest hash of the whole texts
+of the others. Only these blocks and counts of rounded evidence come to the driver.
 
 Defined results: null and empty texts get the score of zero evidence; a null doc_id counts as the
 empty string for the hold-out; rows of a doc_id with two different labels are not learnt from; if
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,20 +30,27 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK, LEVEL, DICTIONARY, LONGEST = 512, 3, 110_000, 32_768
+from lectern.llm._common import kept
+
+BLOCK, LEVEL, DICTIONARY = 1024, 3, 110_000
+#: Evidence is counted in steps of so much for the fit.
+STEP = 0.002
 
 
 def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(5))
 
 
-def dictionary(texts: list[bytes], size: int = DICTIONARY) -> bytes:
-    """A trained dictionary, or the texts themselves where they are too few to train one."""
-    blocks = [t[i : i + BLOCK] for t in texts for i in range(0, len(t), BLOCK)]
+def split(text: bytes, size: int = BLOCK) -> list[bytes]:
+    return [text[i : i + size] for i in range(0, len(text), size)]
+
+
+def dictionary(blocks: list[bytes], size: int = DICTIONARY) -> bytes:
+    """A trained dictionary, or the blocks themselves where they are too few to train one."""
     try:
         return zstandard.train_dictionary(size, blocks).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(texts)[-size:]
+        return b"".join(blocks)[-size:]
 
 
 @dataclass
@@ -49,6 +58,7 @@ class Model:
     good: bytes
     bad: bytes
     weights: tuple[float, ...] = ()
+    knots: tuple[tuple[float, ...], tuple[float, ...]] = ((0.0,), (0.5,))
     share: float = 0.5
 
     def __getstate__(self):
@@ -64,27 +74,29 @@ class Model:
         return found
 
     def sizes(self, text: bytes) -> tuple[int, int]:
-        blocks = [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)]
+        blocks = split(text)
         good, bad = (sum(map(len, map(c.compress, blocks))) for c in self._compressors)
         return good, bad
 
-    def evidence(self, text: bytes) -> tuple[float, float]:
-        """The normalised difference, above 0 if the good dictionary wins, and the log of the ratio."""
+    def evidence(self, text: bytes) -> float:
+        """The normalised size difference, above 0 if the good dictionary wins."""
         if not text:
-            return 0.0, 0.0
+            return 0.0
         good, bad = self.sizes(text)
-        return (bad - good) / (bad + good), float(np.log((good + bad) / 2 / len(text)))
+        return (bad - good) / len(text)
 
     def score(self, text: bytes) -> float:
         if not self.weights:
             return self.share
-        z = float(np.dot(self.weights, (1.0, *self.evidence(text))))
-        return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
+        e = self.evidence(text)
+        smooth = 1 / (1 + np.exp(-np.clip(self.weights[0] + self.weights[1] * e, -50, 50)))
+        return float(0.99 * np.interp(e, *self.knots) + 0.01 * smooth)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
     """Weights (the constant first) by Newton's method on standardised columns, given back in the units of x."""
-    mean, spread = x.mean(0), np.maximum(x.std(0), 1e-9)
+    mean = np.average(x, 0, weight)
+    spread = np.maximum(np.sqrt(np.average((x - mean) ** 2, 0, weight)), 1e-9)
     a = np.c_[np.ones(len(x)), (x - mean) / spread]
     b = np.zeros(a.shape[1])
     for _ in range(50):
@@ -97,8 +109,19 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
     return (float(b[0] - slopes @ mean), *map(float, slopes))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1200) -> Model:
-    """Learn from labels(doc_id, quality) outside the hold-out; per_label bounds the sample."""
+def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[tuple[float, ...], tuple[float, ...]]:
+    """Knots of the non-decreasing function of x nearest to y: the mean of x and y in each run of equal values."""
+    runs: list[list[float]] = []  # weight, weight * x, weight * y
+    for i in np.argsort(x, kind="stable"):
+        runs.append([weight[i], weight[i] * x[i], weight[i] * y[i]])
+        while len(runs) > 1 and runs[-2][2] * runs[-1][0] >= runs[-1][2] * runs[-2][0]:
+            last = runs.pop()
+            runs[-1] = [a + b for a, b in zip(runs[-1], last, strict=True)]
+    return tuple(float(r[1] / r[0]) for r in runs), tuple(float(r[2] / r[0]) for r in runs)
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1200, blocks: int = 2048) -> Model:
+    """Learn from labels(doc_id, quality) outside the hold-out; per_label and blocks bound the sample."""
     known = (
         labels.filter((fold(F.col("doc_id")) != 0) & F.col("quality").isin(0, 1))
         .groupBy("doc_id")
@@ -108,26 +131,41 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1200) -> Model:
     )
     n = {r[0]: r[1] for r in known.groupBy("quality").count().collect()}
     share = n.get(1, 0) / sum(n.values()) if n else 0.5
-    texts: dict[int, list[bytes]] = {0: [], 1: []}
-    for q in texts:
-        some = known.filter(F.col("quality") == q).orderBy("h", "id").limit(per_label)
-        found = (
-            docs.select("doc_id", "text")
-            .filter(F.octet_length("text").between(1, LONGEST))
-            .join(F.broadcast(some), F.col("doc_id") == F.col("id"))  # per_label rows
-            .select("h", "text")
-            .orderBy("h", "text")
-            .limit(per_label)
-        )
-        texts[q] = [r["text"].encode() for r in found.collect()]
-    cut = {q: max(1, len(t) * 2 // 3) for q, t in texts.items()}
-    if not all(len(t) > cut[q] for q, t in texts.items()):
+    some = reduce(DataFrame.unionByName, (known.filter(F.col("quality") == q).orderBy("h", "id").limit(per_label) for q in (0, 1)))
+    sample = kept(
+        docs.select("doc_id", "text")
+        .join(F.broadcast(some), F.col("doc_id") == F.col("id"))  # 2 * per_label rows
+        .filter(F.octet_length("text") > 0)
+        .select("quality", (F.pmod("h", F.lit(3)) == 0).alias("fits"), "text")
+        .distinct(),
+        "labelled",
+    )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for quality, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                parts = split(text.encode())
+                yield pa.RecordBatch.from_arrays([pa.array([quality] * len(parts), pa.int32()), pa.array(parts, pa.binary())], ["quality", "block"])
+
+    pieces = sample.filter("NOT fits").select(F.col("quality").cast("int").alias("quality"), "text").mapInArrow(cut, "quality int, block binary")
+    chosen = {q: [r[0] for r in pieces.filter(F.col("quality") == q).orderBy(F.xxhash64("block"), "block").select("block").limit(blocks).collect()] for q in (0, 1)}
+    if not all(chosen.values()):
+        return Model(b"", b"", share=share)
+    model = Model(dictionary([bytes(x) for x in chosen[1]]), dictionary([bytes(x) for x in chosen[0]]), share=share)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            steps = [round(model.evidence(t.encode()) / STEP) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(steps, pa.int32())], ["quality", "step"])
+
+    counts = sample.filter("fits").select(F.col("quality").cast("int").alias("quality"), "text").mapInArrow(weigh, "quality int, step int").groupBy("quality", "step").count().collect()
+    y, x, m = (np.array([r[i] for r in counts], float) for i in range(3))
+    if len(set(y)) < 2:
         return Model(b"", b"", share=share)
-    model = Model(dictionary(texts[1][: cut[1]]), dictionary(texts[0][: cut[0]]), share=share)
-    rest = [(t, q) for q in texts for t in texts[q][cut[q] :]]
-    y = np.array([q for _, q in rest], float)
-    weight = np.where(y == 1, share / y.sum(), (1 - share) / (1 - y).sum()) * len(y)
-    model.weights = logistic(np.array([model.evidence(t) for t, _ in rest]), y, weight)
+    for q, part in ((1, share), (0, 1 - share)):
+        m[y == q] *= part / m[y == q].sum()
+    model.weights = logistic(x[:, None] * STEP, y, m * sum(r[2] for r in counts))
+    model.knots = isotonic(x * STEP, y, m)
     return model
 
 

@@ -32,3 +32,40 @@ def test_blocks_cover_the_whole_text():
     model = c.Model(b"hello world " * 100, b"xyz" * 400, (0.0, 1.0, 0.0))
     text = b"hello world " * 500
     assert model.sizes(text)[0] == sum(model.sizes(text[i : i + c.BLOCK])[0] for i in range(0, len(text), c.BLOCK))
+
+
+def test_scores_equal_plain_compression(spark):
+    """Each score from two plain compressors, block by block, and one calibration of the size difference over the plain size."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    m = c.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert len(m.weights) == 2 and m.weights[1] > 0
+    good, bad = (c.zstandard.ZstdCompressionDict(d) for d in (m.good, m.bad))
+    size = lambda text, d: sum(len(c.zstandard.ZstdCompressor(level=3, dict_data=d, write_content_size=False, write_dict_id=False).compress(text[i : i + 1024])) for i in range(0, len(text), 1024))
+    some = {r.doc_id: (r.text or "").encode() for r in docs.filter("doc_id % 9 = 0 OR n_chars > 30000").collect()}
+    got = {r.doc_id: r.score for r in c.scored(docs, m).collect()}
+    for i, text in some.items():
+        e = (size(text, bad) - size(text, good)) / len(text) if text else 0.0
+        x, p = m.knots
+        k = sum(v <= e for v in x)
+        steps = p[0] if k == 0 else p[-1] if k == len(x) else p[k - 1] + (p[k] - p[k - 1]) * (e - x[k - 1]) / (x[k] - x[k - 1])
+        assert abs(got[i] - 0.99 * steps - 0.01 / (1 + c.np.exp(-(m.weights[0] + m.weights[1] * e)))) < 1e-9
+
+
+def test_isotonic():
+    r = c.np.random.default_rng(2)
+    x, y, w = c.np.sort(r.normal(size=60)), r.integers(0, 2, 60).astype(float), r.random(60)
+    at, p = c.isotonic(x, y, w)
+    assert all(a < b for a, b in zip(p, p[1:])) and all(a < b for a, b in zip(at, at[1:]))
+    # the fit at i is the largest of the least means of runs around it
+    mean = lambda i, j: (w[i:j] @ y[i:j]) / w[i:j].sum()
+    fit = [max(min(mean(i, j) for j in range(k + 1, 61)) for i in range(k + 1)) for k in range(60)]
+    assert sorted(set(c.np.round(fit, 9))) == sorted(set(c.np.round(p, 9)))
+
+
+def test_long_labelled_texts_are_learnt_from(spark):
+    words = lambda k, n: " ".join(f"{k}{i * 7919 % 101}" for i in range(n))
+    rows = [(i, words("good" if i % 2 else "bad", 20_000)) for i in range(24)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    m = c.fit(docs, labels)
+    assert m.weights and all((r.score >= 0.5) == bool(r.doc_id % 2) for r in c.scored(docs, m).collect())
