@@ -1,12 +1,17 @@
 """Secrets in texts, told apart by who else has them.
 
 Patterns propose spans. The value of each span is hashed, and over the whole corpus the hashes are
-counted by distinct owners and repositories: a value that several owners have is an example that
-was copied widely, one that stays with its owner and looks random is a live credential. Spans of
-the base patterns are always reported; spans of the wider patterns only if they are live.
+counted by distinct owners and repositories. A value that `copied_owners` owners have, or that two
+share over `copied_repositories` repositories, is an example that was copied widely; one that stays
+with its owner, or goes to one other in few repositories as a fork does, is a live credential if it
+looks random. Spans of the base patterns are always reported; spans of the wider ones only if they
+are live.
 
 Everything is DataFrame expressions. Before any value is shuffled it is reduced to one row per
-owner and repository in each task; texts are scanned once and never shuffled.
+owner and repository in each task; texts are scanned once and never shuffled. A text's spans are
+built and looked up in about linear time, however many it has. Lists of values are joined with the
+copied values by broadcast up to SENT of these and else over SALTS salted copies, so that a value
+that many lists hold is spread.
 
 Defined results: null and empty texts have no spans; a null owner or repository counts as one
 unnamed owner or repository; equal rows stay rows of their own; an empty table gives an empty
@@ -15,6 +20,8 @@ result. Offsets are code points, ends exclusive.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,34 +49,49 @@ KINDS = (
 )
 BASE = ("assign", "access", "hex")
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
+#: Up to so many copied values (10 MB) travel to all tasks; more are joined by shuffle over so many salts.
+SENT, SALTS = 100_000, 64
+CHUNK = 128
+
+
+def running(x: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """op over all elements of the array of ints x up to each; in chunks, as an array that grows by one is copied each time."""
+
+    def within(part: Column, start: Column) -> Column:
+        step = lambda a, v: let(op(a["at"], v), lambda y: F.struct(y.alias("at"), F.concat(a["out"], F.array(y)).alias("out")))
+        return F.aggregate(part, F.struct(start.alias("at"), F.array().cast("array<int>").alias("out")), step, lambda a: a["out"])
+
+    zero = F.lit(0)
+    parts = F.transform(F.sequence(zero, (F.size(x) - 1).bitwiseOR(CHUNK - 1), F.lit(CHUNK)), lambda k: F.slice(x, k + 1, CHUNK))
+    totals = lambda p: F.transform(p, lambda q: F.aggregate(q, zero, op))
+    whole = let(parts, lambda p: F.flatten(F.zip_with(p, F.concat(F.array(zero), within(totals(p), zero)), lambda q, start: F.when(q.isNull(), F.array().cast("array<int>")).otherwise(within(q, start)))))
+    return F.when(F.size(x) > 0, whole).otherwise(F.array().cast("array<int>"))
+
+
+def below(x: Column, test: Callable[[Column], Column]) -> Column:
+    """How many of the first elements of the array x, sorted so that they come first, pass test; by bisection."""
+    halve = lambda s, _: F.when(s["low"] >= s["high"], s).otherwise(
+        let(
+            ((s["low"] + s["high"]) / 2).cast("int"),
+            lambda m: F.when(test(F.get(x, m)), F.struct((m + 1).alias("low"), s["high"].alias("high"))).otherwise(F.struct(s["low"].alias("low"), m.alias("high"))),
+        )
+    )
+    return F.aggregate(F.sequence(F.lit(1), F.lit(32)), F.struct(F.lit(0).alias("low"), F.size(x).alias("high")), halve, lambda s: s["low"])
 
 
 def _spans(text: Column, rank: int) -> Column:
     """Spans of one kind. What lies between matches and the matches themselves add up to offsets."""
     kind, pattern, group, least, can = KINDS[rank]
     found = let(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda hits: let(
-            F.split(text, pattern, -1),
-            lambda gaps: F.aggregate(
-                F.arrays_zip(hits.alias("hit"), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"), F.slice(gaps, 1, F.size(hits)).alias("gap")),
-                F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans")),
-                lambda acc, x: F.struct(
-                    (acc["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("at"),
-                    F.concat(
-                        acc["spans"],
-                        F.array(
-                            F.struct(
-                                (acc["at"] + F.length(x["gap"])).alias("start"),
-                                F.lit(rank).alias("rank"),
-                                (acc["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"),
-                                F.lit(kind).alias("kind"),
-                                x["value"].alias("value"),
-                            )
-                        ),
-                    ).alias("spans"),
+        F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"), F.split(text, pattern, -1).alias("gaps")),
+        lambda m: let(
+            running(F.zip_with(m["hits"], F.slice(m["gaps"], 1, F.size(m["hits"])), lambda h, g: F.length(h) + F.length(g)), lambda a, n: a + n),
+            lambda ends: F.zip_with(
+                F.arrays_zip(m["hits"].alias("hit"), ends.alias("end")),
+                m["hits"] if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group)),
+                lambda x, value: F.struct(
+                    (x["end"] - F.length(x["hit"])).alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"), F.lit(kind).alias("kind"), value.alias("value")
                 ),
-                lambda acc: acc["spans"],
             ),
         ),
     )
@@ -77,17 +99,25 @@ def _spans(text: Column, rank: int) -> Column:
     return F.when(can(text), long).otherwise(F.array().cast(SPAN))
 
 
+def _apart(wider: Column, base: Column) -> Column:
+    """Those of wider that overlap no span of base: of the base spans that start before its end, none ends after its start."""
+    by_start = F.array_sort(F.transform(base, lambda b: F.struct(b["start"], b["end"])))
+    kept_apart = let(
+        by_start,
+        lambda b: let(
+            running(F.transform(b, lambda x: x["end"]), lambda a, x: F.greatest(a, x)),
+            lambda ends: F.filter(wider, lambda w: let(below(b, lambda x: x["start"] < w["end"]), lambda k: (k == 0) | (F.get(ends, k - 1) <= w["start"]))),
+        ),
+    )
+    return F.when((F.size(wider) > 0) & (F.size(base) > 0), kept_apart).otherwise(wider)
+
+
 def candidates(text: Column) -> Column:
     """All spans of all kinds by start, then kind; a wider one that overlaps a base span is left out."""
     some = F.coalesce(text, F.lit(""))
     base = F.concat(*(_spans(some, r) for r in range(len(BASE))))
     wider = F.concat(*(_spans(some, r) for r in range(len(BASE), len(KINDS))))
-    return let(
-        base,
-        lambda b: F.array_sort(
-            F.concat(b, F.filter(wider, lambda w: ~F.exists(b, lambda x: (x["start"] < w["end"]) & (w["start"] < x["end"]))))
-        ),
-    )
+    return let(F.struct(base.alias("base"), wider.alias("wider")), lambda s: F.array_sort(F.concat(s["base"], _apart(s["wider"], s["base"]))))
 
 
 def looks_random(value: Column) -> Column:
@@ -118,10 +148,11 @@ def ownership(held: DataFrame, value: str, owner: str, repository: str) -> DataF
     )
 
 
-def scanned(docs: DataFrame, owner: str, repository: Column, copied_owners: int = 3) -> DataFrame:
+def scanned(docs: DataFrame, owner: str, repository: Column, copied_owners: int = 3, copied_repositories: int = 4) -> DataFrame:
     """doc_id with found: an array of spans, each with its verdict.
 
-    copied_owners: a value that so many owners have, or more, counts as copied.
+    copied_owners: a value that so many owners have, or more, counts as copied; copied_repositories:
+    so does one that at least two owners have in so many repositories together.
     """
     spans = candidates(F.col("text"))
     hashed = F.transform(
@@ -136,15 +167,18 @@ def scanned(docs: DataFrame, owner: str, repository: Column, copied_owners: int
     values = F.array_sort(F.array_distinct(F.transform("found", lambda s: s["value"])))
     found = kept(found.withColumn("held", values).withColumn("key", F.when(F.size("held") > 0, F.sha2(F.array_join("held", ","), 256))), "secrets")
     some = found.filter(F.size("held") > 0)
-    copied = ownership(some.select("owner", "repository", F.explode("held").alias("value")), "value", "owner", "repository").filter(F.col("n_owners") >= copied_owners)
-    lists = some.select("key", "held").groupBy("key").agg(F.first("held").alias("held"))  # equal lists hold equal values
-    marked = (
-        lists.select("key", F.explode("held").alias("value"))
-        .join(copied.select("value"), "value")
-        .groupBy("key")
-        .agg(F.collect_set("value").alias("copied"))
-    )
-    verdict = lambda s: F.when(F.array_contains(F.coalesce("copied", F.array().cast("array<string>")), s["value"]), "copied").when(s["random"], "live").otherwise("weak")
+    wide = (F.col("n_owners") >= copied_owners) | ((F.col("n_owners") > 1) & (F.col("n_repositories") >= copied_repositories))
+    held = some.groupBy("key", "owner", "repository").agg(F.first("held").alias("held"))  # equal lists hold equal values
+    copied = kept(ownership(held.select("owner", "repository", F.explode("held").alias("value")), "value", "owner", "repository").filter(wide).select("value"), "copied")
+    lists = some.select("key", "held").groupBy("key").agg(F.first("held").alias("held")).select("key", F.explode("held").alias("value"))
+    if copied.count() <= SENT:
+        joined = lists.join(F.broadcast(copied), "value")
+    else:
+        salted = copied.select("value", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        joined = lists.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(salted, ["value", "salt"])
+    marked = joined.groupBy("key").agg(F.sort_array(F.collect_set("value")).alias("copied"))
+    has = lambda c, v: F.get(c, below(c, lambda x: x < v)) == v
+    verdict = lambda s: F.when(F.col("copied").isNotNull() & F.coalesce(has(F.col("copied"), s["value"]), F.lit(False)), "copied").when(s["random"], "live").otherwise("weak")
     return found.join(marked, "key", "left").select(
         "doc_id",
         F.transform("found", lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"], s["value"], verdict(s).alias("verdict"))).alias("found"),
@@ -170,4 +204,5 @@ def op9_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
         _joined(shown).alias("spans"),
         count(lambda s: s["verdict"] == "live").alias("n_live"),
         count(lambda s: s["verdict"] == "copied").alias("n_copied"),
+        count(lambda s: s["verdict"] == "weak").alias("n_weak"),
     )
