@@ -51,3 +51,30 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def words(text: Column) -> Column:
     """The words of a text; none for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE, -1), lambda w: w != "")
+
+
+#: Keys of many rows that are sent to all tasks, at most (some MB); a key has many rows from LEAST on.
+SENT, LEAST = 100_000, 1024
+
+
+def joined(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """left with the columns of right joined by key, whatever share of left has one key.
+
+    right is a kept table with one row a key and in n how many rows of left have it. Rows of keys
+    with many rows stay where they are: those keys, at most SENT as each has over a SENT-th of all
+    rows, go to all tasks. The others are shuffled.
+    """
+    rows, top = right.agg(F.sum("n"), F.max("n")).first()
+    most = max(LEAST, (rows or 0) // SENT)
+    light = right.filter(F.col("n") <= most).drop("n")
+    if (top or 0) <= most:
+        return left.join(light, key)
+    heavy = right.filter(F.col("n") > most).drop("n")
+    return left.join(F.broadcast(heavy), key).unionByName(left.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key))
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """name, lengthened until no column begins with it."""
+    while any(c.lower().startswith(name.lower()) for c in columns):
+        name += "_"
+    return name

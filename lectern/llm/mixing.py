@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.llm._common import kept, words
+from lectern.llm._common import fresh, kept, words
 
 #: Up to so many leaves (some MB) travel to all tasks; more are joined by shuffle.
 SENT = 50_000
@@ -89,8 +89,8 @@ def budgets(leaves: DataFrame, tree: tuple[Level, ...], budget: int, epochs: int
     return leaves.join(parents.drop("__root"), names, "left").withColumn("budget", F.coalesce("budget", F.lit(0)))
 
 
-def _key(seed: int, epoch: Column) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("__id"), F.lit(""))))
+def _key(seed: int, epoch: Column, name: str = "__id") -> Column:
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col(name), F.lit(""))))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -136,8 +136,9 @@ def leaf_plans(docs: DataFrame, tree: tuple[Level, ...], share: tuple[int, int],
     return rows, kept(out, "plans")
 
 
-def copies(seed: int) -> Column:
-    return (F.col("__whole") + F.when(_key(seed, F.col("__whole")) <= F.col("__last"), 1).otherwise(0)).cast("int")
+def copies(seed: int, p: str = "__") -> Column:
+    whole = F.col(f"{p}whole")
+    return (whole + F.when(_key(seed, whole, f"{p}id") <= F.col(f"{p}last"), 1).otherwise(0)).cast("int")
 
 
 def mixed(docs: DataFrame, tree: tuple[Level, ...] = TREE, share: tuple[int, int] = (3, 5), epochs: int = 2, seed: int = 17) -> DataFrame:
@@ -153,12 +154,11 @@ def mixed(docs: DataFrame, tree: tuple[Level, ...] = TREE, share: tuple[int, int
 def resampled(docs: DataFrame, tree: tuple[Level, ...] = TREE, share: tuple[int, int] = (3, 5), epochs: int = 2, seed: int = 17) -> DataFrame:
     """The rows of docs with all their columns, each as often as mixed() says."""
     _, plans = leaf_plans(docs, tree, share, epochs, seed)
-    names = [f"__{x.name}" for x in tree]
-    for x in tree:
-        plans = plans.withColumnRenamed(x.name, f"__{x.name}")
-    marked = docs.withColumns({f"__{x.name}": F.coalesce(F.expr(x.column), F.lit("none")) for x in tree} | {"__id": F.col("doc_id").cast("string")})
-    found = marked.join(_small(plans), names).withColumn("__copies", copies(seed)).filter("__copies > 0")
-    return found.select(*docs.columns, F.explode(F.sequence(F.lit(1), "__copies")).alias("__copy")).drop("__copy")
+    p = fresh(docs.columns, "__mix")
+    plans = plans.select(*(F.col(x.name).alias(f"{p}_{x.name}") for x in tree), *(F.col(f"__{c}").alias(p + c) for c in ("whole", "last")))
+    marked = docs.withColumns({f"{p}_{x.name}": F.coalesce(F.expr(x.column), F.lit("none")) for x in tree} | {f"{p}id": F.col("doc_id").cast("string")})
+    found = marked.join(_small(plans), [f"{p}_{x.name}" for x in tree]).withColumn(f"{p}copies", copies(seed, p)).filter(F.col(f"{p}copies") > 0)
+    return found.select(*docs.columns, F.explode(F.sequence(F.lit(1), f"{p}copies")).alias(f"{p}copy")).drop(f"{p}copy")
 
 
 def op1_budget_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,15 +5,19 @@ linked texts form groups. All shingles have one order, those that are common in
 last. Sets of similarity p / q share a shingle among the first n - ceil(n * p / q) + 1 of each, n
 being the size of the set; so only these are shuffled, and no pair is lost, whatever the sample.
 
-Sets that share such a shingle are candidates. In a first round each is compared with the one before
-it by size under that shingle, which links large groups without all their pairs; a second round
-compares what is still apart. Both leave out pairs for which the sizes and the places of the shared
-shingle, or the sketches of the sets, rule 0.8 out: a sketch has the parity of the number of shingles
-at each of 512 bits, so it differs in no more bits than the sets differ in shingles.
+Sets that share such a shingle are candidates, and so are those whose SimHash fingerprints the
+vantage-point tree of `simhash` links within RADIUS bits; the tree alone reaches few sets of 0.8, as
+those differ in about 10 of 64 bits, a radius at which no vantage splits. In a first round a set is
+compared with what the tree gives and with the one before it by size under each shingle of its
+prefix, which links large groups without all their pairs; a second round compares what is still
+apart. Both leave out pairs for which the sizes and the places of the shared shingle, or the
+sketches of the sets, rule 0.8 out: a sketch has the parity of the number of shingles at each of 512
+bits, so it differs in no more bits than the sets differ in shingles.
 
 Defined results: words are those of op4's contract; a text of fewer than five words is one shingle;
 null and empty texts have no shingle and are one group. Shingles and sets stand as 64-bit hashes.
-Texts are read again in each step and not kept, so docs must give the same rows each time.
+Texts are told apart by 64-bit hashes of their own; those that need comparing are read again and not
+kept, so docs must give the same rows each time.
 """
 
 from __future__ import annotations
@@ -23,12 +27,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.llm import simhash
-from lectern.llm._common import kept
+from lectern.llm._common import fresh, joined, kept
 
 SHINGLE, SIMILAR = 5, (4, 5)
 #: About so many documents decide which shingles are common: those in COMMON of them or more, KNOWN at most.
@@ -37,9 +41,13 @@ SAMPLE, COMMON, KNOWN = 8_192, 4, 65_536
 SEEN = 100_000
 #: 64-bit words of a sketch.
 SKETCH = 8
-ADDED = ("_size", "_sketch", "_prefix")
-#: Up to so many numbers of sets (16 MB) travel to all tasks; texts of more are joined by shuffle.
-SENT = 2_000_000
+#: Up to so many keys or numbers (some 20 MB) travel to all tasks; more are joined by shuffle.
+SENT = 500_000
+RADIUS = 2
+
+
+def text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def shingles(text: str | None, n: int = SHINGLE) -> np.ndarray:
@@ -93,90 +101,92 @@ def common(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     return found[order], (len(found) - order).astype(np.int64)
 
 
-def marks(docs: DataFrame, name: str, n: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """doc_id, the number of each text's set under name, and its size, sketch and prefix under name_size, name_sketch and name_prefix."""
+def marks(docs: DataFrame, n: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """doc_id, key (a hash of the text), id (the number of its set) and, once a task and text, the set's fingerprint, size, sketch and prefix."""
     known, ranks = common(docs, n)
+    names = ["doc_id", "key", "id", "fingerprint", "size", "sketch", "prefix"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: dict[int, int] = {}
         for b in batches:
-            numbers, sizes, sketches, prefixes = [], [], [], []
-            for t in b.column(1).to_pylist():
-                s = shingles(t, n)
+            rows = []
+            for key, t in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if key in seen:
+                    rows.append((seen[key], None, None, None, None))
+                    continue
+                h = simhash.hashes(t, n)
+                s = np.unique(h)
                 x = number(s)
-                numbers.append(x)
-                sizes.append(len(s))
-                sketches.append(None if x in seen else sketch(s))
-                prefixes.append(None if x in seen else prefix(s, known, ranks, similar).view(np.int64))
+                rows.append((x, int(np.uint64(simhash.fingerprint(h)).view(np.int64)), len(s), sketch(s), prefix(s, known, ranks, similar).view(np.int64)))
                 if len(seen) >= SEEN:
                     seen.clear()
-                seen.add(x)
-            more = [pa.array(numbers, pa.int64()), pa.array(sizes, pa.int32()), *(pa.array(x, pa.list_(pa.int64())) for x in (sketches, prefixes))]
-            yield pa.RecordBatch.from_arrays([b.column(0), *more], ["doc_id", name, *(name + x for x in ADDED)])
-
-    kinds = (T.LongType(), T.IntegerType(), T.ArrayType(T.LongType()), T.ArrayType(T.LongType()))
-    added = [T.StructField(name + x, k) for x, k in zip(("", *ADDED), kinds, strict=True)]
-    return kept(docs.select("doc_id", "text").mapInArrow(run, T.StructType([docs.schema["doc_id"], *added])), "marks")
+                seen[key] = x
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], t) for t in kinds]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], names)
 
+    kinds = (T.LongType(), T.LongType(), T.LongType(), T.IntegerType(), T.ArrayType(T.LongType()), T.ArrayType(T.LongType()))
+    added = [T.StructField(x, k) for x, k in zip(names[1:], kinds, strict=True)]
+    return kept(docs.select("doc_id", text_key().alias("key"), "text").mapInArrow(run, T.StructType([docs.schema["doc_id"], *added])), "marks")
 
-def numbered(docs: DataFrame, name: str, n: int = SHINGLE) -> DataFrame:
-    """docs with the number of each text's set under name."""
-    at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [number(shingles(t, n)) for t in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.int64())], [*b.schema.names, name])
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
-
-
-def linked(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, n: int, similar: tuple[int, int]) -> DataFrame:
-    """Those of pairs(a, b, sizes) whose sets are alike; sizes: of both together; sketches: id and sketch."""
+def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, similar: tuple[int, int]) -> DataFrame:
+    """Those of pairs(a, b) whose sets are alike; sets: id, size, sketch and key, the hash of a text that has this set."""
     p, q = similar
     differ = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    pairs = pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x")), "a")
-    pairs = pairs.join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y")), "b")
-    pairs = kept(pairs.filter((p + q) * differ <= (q - p) * F.col("sizes")).select("a", "b"), "pairs")
-    involved = kept(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
+    of = lambda end, c, size: sets.select(F.col("id").alias(end), F.col("sketch").alias(c), F.col("size").alias(size))
+    pairs = pairs.join(of("a", "x", "m"), "a").join(of("b", "y", "n"), "b")
+    pairs = kept(pairs.filter((p + q) * differ <= (q - p) * (F.col("m") + F.col("n"))).select("a", "b"), "pairs")
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    involved = kept(sets.select("id", "key").join(involved, "id", "left_semi").select("key"), "involved")
     many = involved.count()
     if not many:
         return pairs
     if many <= SENT:
         involved = F.broadcast(involved)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
             ids, found = [], []
-            for t in b.column(0).to_pylist():
-                s = shingles(t, n)
-                x = number(s)
-                if x not in seen:
-                    ids.append(x)
+            for key, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if key not in seen:
+                    s = shingles(t, n)
+                    ids.append(number(s))
                     found.append(s.astype("<u8").tobytes())
                 if len(seen) >= SEEN:
                     seen.clear()
-                seen.add(x)
+                seen.add(key)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.binary())], ["id", "shingles"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            read = lambda c: (np.frombuffer(x, "<u8") for x in c.to_pylist())
-            keep = [alike(x, y, similar) for x, y in zip(read(b.column(2)), read(b.column(3)), strict=True)]
+            of = lambda c: (np.frombuffer(x, "<u8") for x in c.to_pylist())
+            keep = [alike(x, y, similar) for x, y in zip(of(b.column(2)), of(b.column(3)), strict=True)]
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    of = docs.select("text").mapInArrow(sets, "id long, shingles binary").join(involved, "id", "left_semi").dropDuplicates(["id"])
-    both = pairs.join(of.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
-    both = both.join(of.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+    texts = docs.select(text_key().alias("key"), "text").join(involved, "key", "left_semi")
+    whole = texts.mapInArrow(read, "id long, shingles binary").dropDuplicates(["id"])
+    both = pairs.join(whole.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
+    both = both.join(whole.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
     return kept(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "linked")
 
 
-def groups(found: DataFrame, docs: DataFrame, name: str, n: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """fingerprint (the number of a set) and root, the smallest number of its group, of each set in marks of docs."""
+def treed(sets: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs (a, b) of sets whose fingerprints the vantage-point tree links: a star a group and not its pairs."""
+    by = kept(sets.groupBy("fingerprint").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "fingerprints")
+    equal = joined(sets.select("fingerprint", "id"), by, "fingerprint").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    near = simhash.stars(by.select("fingerprint"), radius)
+    of = lambda c, end: by.select(F.col("fingerprint").alias(c), F.col("first").alias(end))
+    near = near.withColumnsRenamed({"a": "x", "b": "y"}).join(of("x", "a"), "x").join(of("y", "b"), "y").select("a", "b")
+    return equal.unionByName(near).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def groups(found: DataFrame, docs: DataFrame, n: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """node (the number of a set) and root, the smallest number of its group, of each set in marks of docs."""
     p, q = similar
-    once = found.filter(F.col(f"{name}_prefix").isNotNull()).select(F.col(name).alias("id"), *(F.col(name + x).alias(x[1:]) for x in ADDED))
-    sketches = kept(once.select("id", "sketch").dropDuplicates(["id"]), "sketches")
+    once = found.filter(F.col("prefix").isNotNull())
+    sets = kept(once.select("id", "fingerprint", "size", "sketch", "key").dropDuplicates(["id"]), "sets")
     rows = once.select("id", "size", F.posexplode("prefix").alias("place", "shingle"))
     # 40 bits tell shingles apart well enough here: two that fall together only give more candidates
     rows = rows.withColumn("shingle", F.shiftrightunsigned("shingle", 24))
@@ -190,26 +200,25 @@ def groups(found: DataFrame, docs: DataFrame, name: str, n: int = SHINGLE, simil
 
     def pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
         ids = F.col(f"{a}.id"), F.col(f"{b}.id")
-        sizes = F.col(f"{a}.size") + F.col(f"{b}.size")
-        return rows.filter(possible(a, b)).select(F.least(*ids).alias("a"), F.greatest(*ids).alias("b"), sizes.alias("sizes")).distinct()
+        return rows.filter(possible(a, b)).select(F.least(*ids).alias("a"), F.greatest(*ids).alias("b"))
 
     rows = several(rows.withColumn("y", F.lag(F.struct("id", "size", "place")).over(by.orderBy("size", "id"))), "id")
     rows = kept(rows.select("shingle", F.struct("id", "size", "place").alias("x"), "y"), "shared")
-    first = linked(pairs(rows.filter("y IS NOT NULL"), "x", "y"), sketches, docs, n, similar)
+    candidates = pairs(rows.filter("y IS NOT NULL"), "x", "y").unionByName(treed(sets)).distinct()
+    first = linked(candidates, sets, docs, n, similar)
     roots = kept(simhash.components(first), "roots").select(F.col("node").alias("id"), "root")
     roots = F.broadcast(roots) if roots.count() <= SENT else roots
     rows = rows.select("shingle", "x.*").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     rows = kept(several(rows, "root"), "apart")
     x, y = (rows.select("shingle", F.struct("id", "size", "place", "root").alias(c)) for c in "xy")
     second = x.join(y, "shingle").filter("x.id < y.id AND x.root <> y.root")
-    edges = first.unionByName(linked(pairs(second, "x", "y"), sketches, docs, n, similar))
-    roots = simhash.components(edges).withColumnRenamed("node", "fingerprint")
-    return found.select(F.col(name).alias("fingerprint")).distinct().join(roots, "fingerprint", "left").select("fingerprint", F.coalesce("root", "fingerprint").alias("root"))
+    edges = first.unionByName(linked(pairs(second, "x", "y").distinct(), sets, docs, n, similar))
+    roots = kept(simhash.components(edges), "roots").select(F.col("node").alias("id"), "root")
+    return sets.select("id").join(roots, "id", "left").select(F.col("id").alias("node"), F.coalesce("root", "id").alias("root"))
 
 
 def deduplicated(docs: DataFrame, n: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """One row of docs per group of near copies, with all its columns: that of the smallest doc_id, null last."""
-    name = "__set"
-    found = marks(docs, name, n, similar)
-    of = groups(found, docs, name, n, similar)
-    return simhash.one_a_group(numbered(docs, name, n), found.select("doc_id", F.col(name).alias("fingerprint")), of, name)
+    name = fresh(docs.columns, "__text")
+    found = marks(docs, n, similar)
+    return simhash.one_a_group(docs.withColumn(name, text_key()), found.select("doc_id", "key", F.col("id").alias("node")), groups(found, docs, n, similar), name)

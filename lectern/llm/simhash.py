@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm._common import kept
+from lectern.llm._common import fresh, joined, kept
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
 SAMPLE, LEAF = 16_384, 8_192
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             found = np.fromiter((fingerprint(hashes(t)) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fingerprint long")
+    return docs.select("doc_id", "text").mapInArrow(run, T.StructType([docs.schema["doc_id"], T.StructField("fingerprint", T.LongType())]))
 
 
 def vantage(points: np.ndarray, radius: int) -> tuple[np.uint64, int, np.ndarray] | None:
@@ -209,30 +209,30 @@ def components(edges: DataFrame) -> DataFrame:
         if not several and not now.select(F.col("b").alias("a")).distinct().join(now.select("a"), "a", "left_semi").limit(1).count():
             return now.select(a.alias("node"), b.alias("root")).unionByName(now.select(b.alias("node"), b.alias("root")).distinct())
         both = now.unionByName(now.select(b.alias("a"), a.alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(b.alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count_if(b > a).alias("n"))
+        large = joined(both.filter("b > a"), kept(least.filter("n > 0"), "least"), "a").select(b.alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         large = kept(large, "large")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.when(b == F.col("m"), a).otherwise(b).alias("a"), F.col("m").alias("b"))
+        least = kept(large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")), "least")
+        small = joined(large, least, "a").select(F.when(b == F.col("m"), a).otherwise(b).alias("a"), F.col("m").alias("b"))
         now = kept(small.filter("a <> b").distinct(), "small")
 
 
 def groups(found: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
-    """fingerprint, root (the group's smallest fingerprint) and component_id of each fingerprint in found(doc_id, fingerprint)."""
-    distinct = kept(found.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct")
+    """fingerprint, root (the group's smallest fingerprint), component_id and n, its rows, of each fingerprint in found(doc_id, fingerprint)."""
+    distinct = kept(found.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "distinct")
     roots = components(stars(distinct.select("fingerprint"), radius, leaf))
-    rooted = distinct.join(roots, distinct["fingerprint"] == roots["node"]).select("fingerprint", "first", "root")
-    least = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    linked = rooted.join(least, "root").select("fingerprint", "root", "component")
+    rooted = kept(distinct.join(roots, distinct["fingerprint"] == roots["node"]).select("fingerprint", "first", "root"), "rooted")
+    least = kept(rooted.groupBy("root").agg(F.min("first").alias("component"), F.count(F.lit(1)).alias("n")), "least")
+    linked = joined(rooted, least, "root").select("fingerprint", "root", "component")
     return distinct.join(linked, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("root", "fingerprint").alias("root"), F.coalesce("component", "first").alias("component_id")
+        "fingerprint", F.coalesce("root", "fingerprint").alias("root"), F.coalesce("component", "first").alias("component_id"), "n"
     )
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
     """doc_id, fingerprint (a signed long) and component_id, the smallest doc_id of the group, of each row."""
     found = kept(fingerprints(docs), "fingerprints")
-    return found.join(groups(found, radius, leaf).drop("root"), "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return joined(found, kept(groups(found, radius, leaf).drop("root"), "groups"), "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -242,7 +242,7 @@ def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     texts decides how the join runs. Rows that agree in both keys are told apart only where there
     are such rows among those that stay.
     """
-    id_at, text_at, name = docs.columns.index("doc_id"), docs.columns.index("text"), "__fingerprint"
+    text_at, name = docs.columns.index("text"), fresh(docs.columns, "__fingerprint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -250,19 +250,26 @@ def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found.view(np.int64))], [*b.schema.names, name])
 
     marked = kept(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])), "marked")
-    found = marked.select(F.col(docs.columns[id_at]).alias("doc_id"), F.col(name).alias("fingerprint"))
-    return one_a_group(marked, found, groups(found, radius).select("fingerprint", "root"), name)
+    found = marked.select("doc_id", F.col(name).alias("fingerprint"))
+    of = groups(found, radius).select(F.col("fingerprint").alias("node"), "root")
+    return one_a_group(marked, found.select("doc_id", F.col("fingerprint").alias("key"), F.col("fingerprint").alias("node")), of, name)
 
 
 def one_a_group(marked: DataFrame, found: DataFrame, of: DataFrame, name: str) -> DataFrame:
-    """One row of marked per root of of(fingerprint, root), without the column name, which holds the fingerprint; found: doc_id and fingerprint of marked."""
+    """One row of marked per root of of(node, root), without the column name, which holds the key.
+
+    found: doc_id, key and node of the rows of marked; rows of one key have one node. Each join has a
+    row a key on both sides, so that no node or group of many rows meets in one task.
+    """
     found = found.withColumnRenamed("doc_id", "id")
-    keys = kept(found.groupBy("id", "fingerprint").agg(F.count(F.lit(1)).alias("n")).join(of, "fingerprint"), "keys")
-    order = F.struct(F.col("id").isNull().alias("unknown"), "id", "fingerprint")
-    stays = keys.groupBy("root").agg(F.min(order).alias("stay"))
-    judged = kept(keys.join(stays, "root").withColumn("stays", order == F.col("stay")).select("id", "fingerprint", "n", "stays"), "judged")
-    same = lambda k: marked["doc_id"].eqNullSafe(k["id"]) & (marked[name] == k["fingerprint"])
-    gone, several = judged.filter(~F.coalesce("stays", F.lit(False))), judged.filter("stays AND n > 1")
+    order = F.struct(F.col("id").isNull().alias("unknown"), "id", "key")
+    first = found.groupBy("node").agg(F.min(order).alias("first"))
+    stays = kept(first.join(of, "node").groupBy("root").agg(F.min("first").alias("first")).select("first.id", "first.key"), "stays")
+    keys = kept(found.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n")), "keys")
+    stays_too = keys["id"].eqNullSafe(stays["id"]) & (keys["key"] == stays["key"])
+    gone = kept(keys.join(stays, stays_too, "left_anti"), "gone")
+    several = kept(keys.filter("n > 1").join(stays, stays_too, "left_semi"), "several")
+    same = lambda k: marked["doc_id"].eqNullSafe(k["id"]) & (marked[name] == k["key"])
     out = marked.join(gone, same(gone), "left_anti")
     if several.limit(1).count():
         alone = out.join(several, same(several), "left_anti")
