@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm._common import kept, let
+from lectern.llm._common import joined, kept, let
 
 # The base patterns, in the order in which kinds are listed.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -170,16 +170,20 @@ def scanned(docs: DataFrame, owner: str, repository: Column, copied_owners: int
     wide = (F.col("n_owners") >= copied_owners) | ((F.col("n_owners") > 1) & (F.col("n_repositories") >= copied_repositories))
     held = some.groupBy("key", "owner", "repository").agg(F.first("held").alias("held"))  # equal lists hold equal values
     copied = kept(ownership(held.select("owner", "repository", F.explode("held").alias("value")), "value", "owner", "repository").filter(wide).select("value"), "copied")
-    lists = some.select("key", "held").groupBy("key").agg(F.first("held").alias("held")).select("key", F.explode("held").alias("value"))
+    lists = kept(some.groupBy("key").agg(F.first("held").alias("held"), F.count(F.lit(1)).alias("n")), "lists")
+    values, copied_here = lists.select("key", F.explode("held").alias("value")), copied.withColumn("here", F.lit(True))
     if copied.count() <= SENT:
-        joined = lists.join(F.broadcast(copied), "value")
+        values = values.join(F.broadcast(copied_here), "value", "left")
     else:
-        salted = copied.select("value", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        joined = lists.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(salted, ["value", "salt"])
-    marked = joined.groupBy("key").agg(F.sort_array(F.collect_set("value")).alias("copied"))
-    has = lambda c, v: F.get(c, below(c, lambda x: x < v)) == v
-    verdict = lambda s: F.when(F.col("copied").isNotNull() & F.coalesce(has(F.col("copied"), s["value"]), F.lit(False)), "copied").when(s["random"], "live").otherwise("weak")
-    return found.join(marked, "key", "left").select(
+        salted = copied_here.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        values = values.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(salted, ["value", "salt"], "left")
+    marked = values.groupBy("key").agg(F.sort_array(F.collect_set(F.when(F.col("here"), F.col("value")))).alias("copied"))
+    marked = kept(marked.join(lists.select("key", "n"), "key"), "marked")
+    none = F.array().cast("array<string>")
+    every = joined(some, marked, "key").unionByName(found.filter(F.size("held") == 0).withColumn("copied", none))
+    has = lambda c, v: F.coalesce(F.get(c, below(c, lambda x: x < v)) == v, F.lit(False))
+    verdict = lambda s: F.when(has(F.col("copied"), s["value"]), "copied").when(s["random"], "live").otherwise("weak")
+    return every.select(
         "doc_id",
         F.transform("found", lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"], s["value"], verdict(s).alias("verdict"))).alias("found"),
     )
