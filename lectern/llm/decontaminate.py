@@ -2,11 +2,12 @@
 
 A window is as many words as a benchmark item has, at any place in a document. Windows and items
 have SimHash fingerprints over their five-word shingles. A multi-index over the items' fingerprints
-(one index per item length, blocks of eight bits, each item listed under every block value within
-radius // blocks bits) returns all items within `radius` bits of a window, and the exact similarity
-of what it returns, shared shingle weight over total shingle weight with the occurrences as weights,
-decides. Two sets of 0.8 similarity differ by 10 of 64 bits on average, with a deviation of 3; the
-default radius of 20 leaves out fewer than one in a thousand.
+(one index per item length) returns all items within `radius` bits of a window: of four blocks of 16
+bits that differ in 20 together, one of the first three differs in 4 or fewer or the last in 5 or fewer.
+Half of that is spent on the items' side, where each is listed under all such values of a block, and
+the rest on the window's, which probes as many. The exact similarity of what it returns, shared shingle
+weight over total shingle weight with the occurrences as weights, decides. At radius 20 a random item
+is a candidate for one window in five.
 
 A window without any shingle of an item of its length has similarity zero with all of them, so
 only windows around such shingles are fingerprinted; this leaves no pair out.
@@ -32,8 +33,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-SHINGLE, SIMILAR, RADIUS, BLOCKS, PART = 5, 0.8, 20, 8, 16 << 20
+SHINGLE, SIMILAR, RADIUS, BLOCKS, PART = 5, 0.8, 20, 4, 8 << 20
+#: So many windows are fingerprinted at a time, at 320 bytes each and as much for each word of one.
+RUN = 4096
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -63,36 +68,48 @@ def window_fingerprints(h: np.ndarray, size: int) -> np.ndarray:
     return np.packbits(2 * (total[size:] - total[:-size]) > size, axis=1, bitorder="little").view("<u8").ravel()
 
 
+def masks(width: int, most: int) -> np.ndarray:
+    """All words of width bits with most set bits or fewer."""
+    return np.array([sum(1 << b for b in bits) for r in range(most + 1) for bits in combinations(range(width), r)], np.uint64)
+
+
 class MultiIndex:
     """All of a set of fingerprints within radius bits of a query.
 
-    Of `blocks` blocks that differ in `radius` bits together, one differs in radius // blocks or
-    fewer; each fingerprint is listed under all such values of each of its blocks.
+    Blocks have budgets of bits that with one more each add up to radius + 1, so that of two words
+    within radius some block differs within its budget. Each fingerprint is listed under all values
+    of each block within half of its budget.
     """
 
     def __init__(self, fingerprints: np.ndarray, radius: int = RADIUS, blocks: int = BLOCKS):
-        self.all, self.radius, self.blocks, self.width = fingerprints, radius, blocks, 64 // blocks
-        masks = [sum(1 << b for b in bits) for r in range(radius // blocks + 1) for bits in combinations(range(self.width), r)]
-        self.lists: list[dict[int, np.ndarray]] = []
+        self.all, self.radius, self.width = fingerprints, radius, 64 // blocks
+        self.lists = []
         for b in range(blocks):
-            at = defaultdict(list)
-            for i, value in enumerate(self._block(fingerprints, b)):
-                for m in masks:
-                    at[int(value) ^ m].append(i)
-            self.lists.append({v: np.array(x) for v, x in at.items()})
+            most = (radius + 1 - blocks + b) // blocks
+            if most >= 0:
+                listed = masks(self.width, most // 2)
+                keys = (self._block(fingerprints, b)[:, None] ^ listed[None, :]).ravel().astype(np.uint32)
+                order = np.argsort(keys, kind="stable")
+                self.lists.append((b, masks(self.width, most - most // 2), keys[order], (order // len(listed)).astype(np.int32)))
 
     def _block(self, x: np.ndarray, b: int) -> np.ndarray:
         return (x >> np.uint64(b * self.width)) & np.uint64((1 << self.width) - 1)
 
+    def candidates(self, query: np.uint64) -> np.ndarray:
+        """The fingerprints that differ from the query within the budget of some block."""
+        found = []
+        for b, near, keys, at in self.lists:
+            probes = (self._block(query, b) ^ near).astype(np.uint32)
+            first, last = np.searchsorted(keys, probes), np.searchsorted(keys, probes, "right")
+            found += [at[i:j] for i, j in zip(first[first < last], last[first < last], strict=True)]
+        return np.unique(np.concatenate(found)) if found else np.empty(0, np.int32)
+
     def near(self, queries: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(query, fingerprint, distance) of all pairs within radius, once each."""
-        keys = np.stack([self._block(queries, b) for b in range(self.blocks)], axis=1).tolist()
-        for q, row in enumerate(keys):
-            listed = [self.lists[b][v] for b, v in enumerate(row) if v in self.lists[b]]
-            if listed:
-                found = np.unique(np.concatenate(listed))
-                d = np.bitwise_count(self.all[found] ^ queries[q])
-                yield from ((q, int(i), int(x)) for i, x in zip(found[d <= self.radius], d[d <= self.radius], strict=True))
+        for q, x in enumerate(queries):
+            found = self.candidates(x)
+            d = np.bitwise_count(self.all[found] ^ x)
+            yield from ((q, int(i), int(y)) for i, y in zip(found[d <= self.radius], d[d <= self.radius], strict=True))
 
 
 class Items:
@@ -140,7 +157,8 @@ class Items:
                 starts[min(i, last) + 1] -= 1
             starts = np.flatnonzero(np.cumsum(starts[:-1]) > 0)
             items, index = self.by_length[size]
-            for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
+            cuts = np.flatnonzero((np.diff(starts) > 1) | (np.arange(1, len(starts)) % RUN == 0)) + 1
+            for run in np.split(starts, cuts):
                 first = int(run[0])
                 prints = window_fingerprints(h[first : int(run[-1]) + span], span)
                 for q, i, distance in index.near(prints):
@@ -181,16 +199,16 @@ def parts(benchmark: DataFrame, size: int = PART) -> Iterator[Benchmark]:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, first_word, similarity and distance: a row per document and item found in it."""
-    schema = "doc_id long, item_id long, first_word int, similarity double, distance int"
-    names, out = [x.split()[0] for x in schema.split(", ")], None
+    ids = [T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("item_id", benchmark.schema["item_id"].dataType)]
+    schema = T.StructType([*ids, *T.StructType.fromDDL("first_word int, similarity double, distance int").fields])
+    kinds, out = [to_arrow_type(f.dataType) for f in schema.fields], None
     for part in parts(benchmark):
 
         def run(batches: Iterator[pa.RecordBatch], part: Benchmark = part) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 rows = [(d, *m) for d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for m in part.matches(text)]
                 if rows:
-                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int32())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], schema.names)
 
         found = docs.select("doc_id", "text").mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)

@@ -73,3 +73,30 @@ def test_multi_index_finds_all_within_radius():
             queries[i] ^= np.uint64(1 << int(b))
     want = {(q, i) for q in range(60) for i in range(300) if int(queries[q] ^ prints[i]).bit_count() <= 20}
     assert {(q, i) for q, i, _ in d.MultiIndex(prints).near(queries)} == want
+
+
+def test_index_prunes_and_recall_of_planted_changes():
+    """Of random items few are candidates; of windows changed down to a similarity of 0.8 hardly any is beyond the radius."""
+    import random
+
+    import numpy as np
+
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    items = [r.choices(words, k=r.choice((40, 60, 90))) for _ in range(400)]
+    prints = np.array([d.window_fingerprints(d.shingle_hashes(w, 5), len(w) - 4)[0] for w in items], np.uint64)
+    index = d.MultiIndex(prints)
+    queries = np.random.default_rng(4).integers(0, 2**63, 200, dtype=np.uint64)
+    assert sum(len(index.candidates(q)) for q in queries) < 0.25 * len(prints) * len(queries)
+    want = found = 0
+    for n, w in enumerate(items):
+        for _ in range(6):
+            x = list(w)
+            for _ in range(r.randint(1, 3)):
+                x[r.randrange(len(x))] = "changed"
+            a, b = ({tuple(y[i : i + 5]) for i in range(len(y) - 4)} for y in (w, x))
+            if len(a & b) / len(a | b) >= 0.8:
+                want += 1
+                q = d.window_fingerprints(d.shingle_hashes(x, 5), len(x) - 4)
+                found += any(i == n for _, i, _ in index.near(q))
+    assert want > 500 and found >= 0.995 * want
