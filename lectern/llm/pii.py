@@ -2,13 +2,15 @@
 
 Patterns propose spans; four labelers (pattern check, gazetteer, context, surroundings) vote on
 each or abstain; expectation-maximisation over the corpus' vote patterns estimates how reliable
-each labeler is; a logistic span classifier is trained on the posterior, with the span's shape as
-further features, and decides on the spans of the wider kinds. Spans of the base kinds that pass
-their check are always reported.
+each labeler is; a logistic span classifier is trained on the posterior, with the span's shape and
+the word before it as further features, so that it carries over what labelers see to spans on
+which they abstain, and decides on the spans of the wider kinds. Spans of the base kinds that
+pass their check are always reported.
 
 The classifier's inputs are few discrete values, so that EM and training need only the counts of
-their combinations: CODES rows at most come to the driver, whatever the corpus. Texts are read
-once, whole, and never shuffled.
+their combinations: CODES rows at most come to the driver, whatever the corpus. Its weights go back
+as an expression. Texts are read once, whole, and never shuffled; a text's spans are compared in
+order and not each with each.
 
 Defined results: null and empty texts have no spans; equal rows stay rows of their own; an empty
 table gives an empty result. Offsets are code points, ends exclusive.
@@ -18,33 +20,51 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.llm._common import kept
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "email_words", "phone_local", "ssn", "iban")
+KINDS = (*BASE, "email_words", "phone_local", "ssn", "iban", "person", "address")
 LABELERS = ("check", "gazetteer", "context", "surroundings")
-SHAPES = 4
-CODES = len(KINDS) * 3 ** len(LABELERS) * SHAPES
+#: Buckets of the character pattern of a span and of the word before it.
+SHAPES, WORDS = 16, 16
+CODES = len(KINDS) * 3 ** len(LABELERS) * SHAPES * WORDS
 
 # The base patterns; email is read around each @, which gives the same spans in linear time.
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+# Gazetteers of first names, titles, places and words for streets.
+NAMES = frozenset(
+    "James Mary John Patricia Robert Jennifer Michael Linda William Elizabeth David Barbara Richard Susan Joseph Jessica Thomas Sarah Charles Karen "
+    "Daniel Nancy Matthew Lisa Anthony Margaret Mark Sandra Paul Emily Hans Peter Klaus Anna Ursula Heinz Jürgen Monika Sabine Stefan "
+    "Jean Marie Pierre Jacques Nathalie Isabelle Philippe Sophie José María Carlos Carmen Juan Ana Luis Pilar Javier Lucía Miguel Elena".split()
+)
+TITLES = "Mr Mrs Ms Dr Prof Herr Frau Monsieur Madame Señor Señora".split()
+PLACES = frozenset(
+    "London Paris Berlin Madrid Rome Vienna Boston Chicago Houston Seattle Denver Dallas Toronto Sydney Dublin Munich Hamburg Lyon Marseille Barcelona "
+    "Sevilla Zürich Geneva Brussels Amsterdam Lisbon Mexico Springfield England France Germany Spain Texas California Florida Ohio".split()
+)
+STREETS = "Street St Avenue Ave Road Rd Lane Ln Drive Dr Boulevard Blvd Court Ct".split()
 # The wider patterns.
 WIDER = {
     "email_words": re.compile(r"\b[A-Za-z0-9._-]{1,64} ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63}(?: ?[(\[]dot[)\]] ?[A-Za-z]{2,24})+"),
     "phone_local": re.compile(r"(?<![0-9+(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"),
     "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "iban": re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"),
+    "person": re.compile(rf"\b(?:(?:{'|'.join(TITLES)})\.? [A-Z]\w{{1,30}}(?: [A-Z]\w{{1,30}})?|(?:{'|'.join(sorted(NAMES))}) [A-Z]\w{{1,30}})\b"),
+    "address": re.compile(rf"\b[0-9]{{1,5}} (?:[A-Z]\w{{1,30}} ){{1,3}}(?:{'|'.join(STREETS)})\b"),
 }
 # The gazetteers.
 TOP_LEVEL = frozenset("com org net edu gov mil int info io co de fr es it nl uk us eu ch at be pl se no dk fi pt br mx ar ca au jp cn in".split())
@@ -54,6 +74,7 @@ CUES = {
     "ip": "ip host server client address adresse dirección", "card": "card visa credit tarjeta karte carte payment pay",
     "phone": "phone tel call fax mobile telefon téléphone teléfono", "phone_local": "phone tel call fax mobile telefon téléphone teléfono",
     "ssn": "ssn social security", "iban": "iban account bank konto compte cuenta",
+    "person": "name signed sincerely dear author contact patient", "address": "address live lives street home office located ship",
 }
 AGAINST = "version release section isbn order part chapter figure id serial sku"
 _CUES = {k: re.compile("|".join(map(re.escape, v.split()))) for k, v in CUES.items()}
@@ -95,11 +116,23 @@ def checked(kind: str, s: str) -> int:
     if kind == "iban":
         t = s.replace(" ", "")
         return 1 if int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97 == 1 else -1
+    if kind == "email_words":
+        return 1 if 2 <= len(re.findall(r"[A-Za-z]+", s)[-1]) <= 6 and len(re.findall(r"[(\[]at[)\]]", s)) == 1 else -1
+    if kind == "phone_local":
+        d = digits(s)
+        return 1 if d[0] not in "01" and d[3] not in "01" and d[1:3] != "11" else -1
+    if kind == "ssn":
+        d = digits(s)
+        return -1 if d[:3] in ("000", "666") or d[0] == "9" or d[3:5] == "00" or d[5:] == "0000" else 1
     return 1 if kind == "email" else 0
 
 
-def listed(kind: str, s: str) -> int:
+def listed(kind: str, s: str, after: str) -> int:
     d = digits(s)
+    if kind == "person":
+        return 1 if NAMES & set(s.split()) else -1 if PLACES & set(s.split()) else 0
+    if kind == "address":
+        return 1 if PLACES & set(re.findall(r"\w+", after)) else 0
     if kind == "email":
         return 1 if s.rpartition(".")[2].lower() in TOP_LEVEL else -1
     if kind == "email_words":
@@ -111,12 +144,24 @@ def listed(kind: str, s: str) -> int:
     if kind == "phone":
         return 1 if any(d[:n] in CALLING for n in (1, 2)) else -1
     if kind == "phone_local":
-        return 1 if d[0] not in "01" and d[3] not in "01" else -1
+        return -1 if d[3:8] == "55501" else 0
     if kind == "ssn":
-        return -1 if d[:3] in ("000", "666") or d[0] == "9" or d[3:5] == "00" else 1
+        return -1 if d in ("078051120", "219099999", "123456789") else 0
     return 0
 
 
+def shape(s: str) -> int:
+    """The bucket of a span's pattern of digits, small and large letters and other characters, runs taken as one."""
+    classes = "".join("9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in s)
+    return zlib.crc32(re.sub(r"(.)\1+", r"\1", classes).encode()) % SHAPES
+
+
+def word_before(before: str) -> int:
+    """The bucket of the last word of what stands before a span, 0 if there is none."""
+    w = re.findall(r"\w+", before)
+    return 1 + zlib.crc32(w[-1].encode()) % (WORDS - 1) if w else 0
+
+
 def code(kind: str, text: str, start: int, end: int, valid: int) -> int:
     """Kind, votes and shape of a candidate in one number below CODES."""
     s = text[start:end]
@@ -124,12 +169,11 @@ def code(kind: str, text: str, start: int, end: int, valid: int) -> int:
     context = 1 if _CUES[kind].search(before) else -1 if _AGAINST.search(before) else 0
     near = (text[start - 1] if start else " ") + (text[end] if end < len(text) else " ")
     around = -1 if any(c.isalnum() or c in "_/=" for c in near) else 1 if near[0].isspace() else 0
-    votes = (valid, listed(kind, s), context, around)
-    shape = 2 * (len(s) > 20) + (" " in s or "-" in s)
+    votes = (valid, listed(kind, s, text[end : end + 40]), context, around)
     n = KINDS.index(kind)
     for v in votes:
         n = n * 3 + v + 1
-    return n * SHAPES + shape
+    return (n * SHAPES + shape(s)) * WORDS + word_before(before)
 
 
 def base_matches(text: str) -> Iterator[tuple[str, int, int, int]]:
@@ -143,30 +187,34 @@ def base_matches(text: str) -> Iterator[tuple[str, int, int, int]]:
 
 def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[int, int, int, bool]]]:
     """Base spans, and all candidates as (code, start, end, wider); a wider one that overlaps a base span is left out."""
-    if not text or not re.search("[0-9@]|[(\\[]at[)\\]]", text):
+    if not text:
         return [], []
     base, found = [], []
-    for kind, a, b, valid in base_matches(text):
-        if valid > 0:
-            base.append((kind, a, b))
-        found.append((code(kind, text, a, b, valid), a, b, False))
+    if re.search("[0-9@]", text):
+        for kind, a, b, valid in base_matches(text):
+            if valid > 0:
+                base.append((kind, a, b))
+            found.append((code(kind, text, a, b, valid), a, b, False))
     taken = sorted((a, b) for _, a, b in base)
+    starts, ends = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
     for kind, p in WIDER.items():
         for m in p.finditer(text):
             a, b = m.span()
-            if not any(x < b and a < y for x, y in taken):
+            before = bisect_left(starts, b)  # base spans that start before its end; none of them may end after its start
+            if not before or ends[before - 1] <= a:
                 found.append((code(kind, text, a, b, checked(kind, m[0])), a, b, True))
     return base, found
 
 
-def decoded(c: int) -> tuple[int, tuple[int, ...], int]:
-    """Kind, votes (0 against, 1 abstains, 2 for) and shape of a code."""
-    n, shape = divmod(c, SHAPES)
+def decoded(c: int) -> tuple[int, tuple[int, ...], int, int]:
+    """Kind, votes (0 against, 1 abstains, 2 for), shape and word before of a code."""
+    n, word = divmod(c, WORDS)
+    n, form = divmod(n, SHAPES)
     votes = []
     for _ in LABELERS:
         n, v = divmod(n, 3)
         votes.append(v)
-    return n, tuple(votes[::-1]), shape
+    return n, tuple(votes[::-1]), form, word
 
 
 def reliabilities(votes: np.ndarray, n: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
@@ -188,15 +236,17 @@ def reliabilities(votes: np.ndarray, n: np.ndarray, rounds: int = 50) -> tuple[n
     return post, p
 
 
+#: Where each group of features begins: kinds, votes of each labeler, shapes, words before.
+AT = (0, *(len(KINDS) + 3 * j for j in range(len(LABELERS))), len(KINDS) + 3 * len(LABELERS), len(KINDS) + 3 * len(LABELERS) + SHAPES)
+FEATURES = AT[-1] + WORDS
+
+
 def features(codes: np.ndarray) -> np.ndarray:
-    """One column per kind, per vote of each labeler, and per shape."""
-    rows = [decoded(int(c)) for c in codes]
-    x = np.zeros((len(rows), len(KINDS) + 2 * len(LABELERS) + SHAPES))
-    for i, (kind, votes, shape) in enumerate(rows):
-        x[i, kind] = x[i, len(KINDS) + 2 * len(LABELERS) + shape] = 1
-        for j, v in enumerate(votes):
-            if v != 1:
-                x[i, len(KINDS) + 2 * j + v // 2] = 1
+    """One column per kind, per vote of each labeler, per shape and per word before."""
+    x = np.zeros((len(codes), FEATURES))
+    for i, c in enumerate(codes):
+        kind, votes, form, word = decoded(int(c))
+        x[i, [a + v for a, v in zip(AT, (kind, *votes, form, word), strict=True)]] = 1
     return x
 
 
@@ -218,6 +268,16 @@ def accepted(codes: np.ndarray, weights: np.ndarray, least: float = 0.5) -> list
     return [int(c) for c, v in zip(codes, z, strict=True) if 1 / (1 + np.exp(-v)) >= least]
 
 
+def accepts(code: Column, weights: np.ndarray, least: float = 0.5) -> Column:
+    """accepted() as an expression: the weights of a code's features, added up."""
+    sizes = (len(KINDS), *[3] * len(LABELERS), SHAPES, WORDS)
+    z, rest = F.lit(float(weights[-1] - np.log(least / (1 - least)))), code
+    for a, size in reversed(list(zip(AT, sizes, strict=True))):
+        z = z + F.get(F.array(*(F.lit(float(w)) for w in weights[a : a + size])), F.pmod(rest, F.lit(size)).cast("int"))
+        rest = F.floor(rest / size)
+    return z >= 0
+
+
 def scanned(docs: DataFrame) -> DataFrame:
     """doc_id, counts of base spans, base (kind:start:end, joined) and candidates of each row."""
     candidate = pa.struct([("code", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("wider", pa.bool_())])
@@ -238,25 +298,20 @@ def scanned(docs: DataFrame) -> DataFrame:
             )
 
     counts = ", ".join(f"n_{k} long" for k in BASE)
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id long, {counts}, base_sha256 string, base string, candidates array<struct<code:int,start:int,end:int,wider:boolean>>"
-    )
+    added = T.StructType.fromDDL(f"{counts}, base_sha256 string, base string, candidates array<struct<code:int,start:int,end:int,wider:boolean>>")
+    return docs.select("doc_id", "text").mapInArrow(run, T.StructType([docs.schema["doc_id"], *added.fields]))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """Spans of documents(doc_id, text): base ones, then those of wider kinds that the classifier accepts."""
     found = kept(scanned(docs), "personal")
     counts = found.select(F.explode("candidates.code").alias("code")).groupBy("code").count().collect()  # CODES rows at most
-    yes: list[int] = []
-    if counts:
-        codes, n = np.array([r[0] for r in counts]), np.array([float(r[1]) for r in counts])
-        yes = accepted(codes, train(codes, n))
-    wanted = F.array(*map(F.lit, yes)).cast("array<int>")
+    weights = train(np.array([r[0] for r in counts]), np.array([float(r[1]) for r in counts])) if counts else np.zeros(FEATURES + 1)
     names = F.array(*map(F.lit, KINDS))
     extra = F.array_sort(
         F.transform(
-            F.filter("candidates", lambda c: c["wider"] & F.array_contains(wanted, c["code"])),
-            lambda c: F.struct(F.floor(c["code"] / (SHAPES * 3 ** len(LABELERS))).cast("int").alias("kind"), c["start"], c["end"]),
+            F.filter("candidates", lambda c: c["wider"] & accepts(c["code"], weights)),
+            lambda c: F.struct(F.floor(c["code"] / (CODES // len(KINDS))).cast("int").alias("kind"), c["start"], c["end"]),
         )
     )
     extra = F.array_join(F.transform(extra, lambda c: F.concat_ws(":", F.get(names, c["kind"]), c["start"], c["end"])), ",")

@@ -59,3 +59,67 @@ def test_query(spark, tmp_path):
 
 def test_empty(spark):
     assert pii.personal_data(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def planted():
+    """(text, kind, start, end, personal): spans of the wider kinds with and without cues, and look-alikes."""
+    import random
+
+    r = random.Random(6)
+    d = lambda n: "".join(r.choices("23456789", k=n))
+    iban = "GB82WEST12345698765432"
+    yes = {
+        "email_words": lambda: f"bob{d(2)} [at] site{d(1)} [dot] org", "phone_local": lambda: f"{d(3)}-{d(3)}-{d(4)}", "ssn": lambda: f"4{d(2)}-{d(2)}-{d(4)}",
+        "iban": lambda: iban, "person": lambda: r.choice(["Mr. Robert Talbot", "Susan Barlow", "Frau Monika Vogel", "Carlos Delgado"]), "address": lambda: f"{d(3)} {r.choice(['Oak', 'Maple Hill', 'King'])} Street",
+    }
+    cues = {"email_words": "write to", "phone_local": "phone", "ssn": "social security", "iban": "account", "person": "signed", "address": "lives at"}
+    after = {"address": ", Boston"}
+    no = [
+        ("phone_local", lambda: f"1{d(2)}-0{d(2)}-{d(4)}", "part", "_x"), ("ssn", lambda: f"000-{d(2)}-{d(4)}", "serial", "/b"), ("iban", lambda: "GB83WEST12345698765432", "order", ""),
+        ("phone_local", lambda: f"0{d(2)}-1{d(2)}-{d(4)}", "section", "="),
+    ]
+    out = []
+    for i in range(60):
+        for kind, make in yes.items():
+            head = f"so they said {cues[kind]} " if i % 3 else "so it was then "
+            s = make()
+            out.append((head + s + after.get(kind, "") + " and that was all", kind, len(head), len(head) + len(s), True))
+        for kind, make, against, tail in no:
+            head, s = f"see the {against} ", make()
+            out.append((head + s + tail + " as before", kind, len(head), len(head) + len(s), False))
+    return out
+
+
+def test_recall_and_precision_by_kind(spark):
+    from collections import Counter
+
+    cases = planted()
+    got = {r.doc_id: r.spans.split(",") for r in pii.personal_data(spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string")).collect()}
+    every, hit, false = Counter(), Counter(), Counter()
+    for i, (_, kind, a, b, personal) in enumerate(cases):
+        found = f"{kind}:{a}:{b}" in got[i]
+        every[kind, personal] += 1
+        hit[kind] += personal and found
+        false[kind] += not personal and found
+    assert all(hit[k] >= 0.9 * every[k, True] for k in pii.KINDS[4:]), hit
+    assert all(false[k] <= 0.1 * every[k, False] for k in pii.KINDS[4:]), false
+
+
+def test_expression_equals_the_classifier(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(3)
+    w, codes = r.normal(size=pii.FEATURES + 1), r.integers(0, pii.CODES, 300)
+    want = set(pii.accepted(codes, w))
+    got = spark.createDataFrame([(int(c),) for c in codes], "c int").select("c", pii.accepts(F.col("c"), w).alias("yes")).collect()
+    assert all(x.yes == (x.c in want) for x in got)
+
+
+def test_many_spans_in_one_text():
+    import time
+
+    text = " ".join(f"10.0.0.{i % 250} 555-234-{1000 + i % 9000}" for i in range(6000))
+    start = time.time()
+    base, found = pii.scan(text)
+    assert len(base) == 6000 and sum(x[3] for x in found) == 6000 and time.time() - start < 2
