@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -37,6 +38,12 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def freed(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more; its driver notices them at a collection."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def discard(spark: SparkSession) -> None:
     """Delete all tables that this application has kept; none of its DataFrames can be read afterwards."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/lectern/{spark.sparkContext.applicationId}")

@@ -11,8 +11,8 @@ for every history. Before a document stand start marks, which are histories and
 
 How it runs. Documents become blocks of about a million tokens: a sorted vocabulary of word hashes
 and token numbers. Each block asks for its distinct n-grams once, packed and dealt out by ranges of
-their hashes to `parts`; a part is one partition of the count tables, sums what all blocks have,
-stores its counts, and answers each block in the order it was asked. With these counts a block
+their hashes to `parts`; a part is one partition of the count tables, sums what all blocks have, and
+answers each block in the order it was asked; the answers are what is stored. With these counts a block
 computes all that needs no alpha. For alpha it sends, dealt out by history, the partial sums of those
 histories of which it owns n-grams (the first block that has an n-gram owns it) and which held-out
 documents have somewhere, as no other text meets an unseen n-gram, and the unseen n-grams of its
@@ -21,7 +21,8 @@ tasks, follows the corpus.
 
 Defined results: null and empty texts are one end token; a null doc_id counts as the empty string
 for the hold-out; equal rows stay rows of their own; without training documents every word is
-unknown; an empty table gives an empty result. N-grams are told apart by 56-bit hashes.
+unknown; an empty table gives an empty result. Words are told apart by 64-bit hashes,
+longer n-grams by hashes whose length grows with the corpus.
 """
 
 from __future__ import annotations
@@ -38,15 +39,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lectern.llm._common import kept
+from lectern.llm._common import freed, kept
 
-ORDER, BLOCK, PART, CUT, BITS = 3, 1 << 20, 2 << 20, 5, 56
+ORDER, BLOCK, PART, CUT = 3, 1 << 20, 2 << 20, 5
+#: N-grams above words have hashes of log2(tokens) + SPARE bits, so that at any size one in 2 ** SPARE falls together with another.
+SPARE = 20
 INT = np.dtype("<i8")
 END = b" end"  # no word has a space
 
 
 def word_key(w: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(w) >> (64 - BITS)
+    return xxhash.xxh3_64_intdigest(w)
 
 
 START = np.uint64(word_key(b" start"))
@@ -72,21 +75,22 @@ def unpacked_keys(b: bytes) -> np.ndarray:
 
 
 def packed_doubles(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(x.astype("<f8").tobytes())
+    """To 36 bits after the point of the mantissa: 2e-11 of a sum."""
+    return packed((np.ascontiguousarray(x.astype("<f8")).view("<u8") + np.uint64(1 << 15)) & ~np.uint64((1 << 16) - 1))
 
 
 def unpacked_doubles(b: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), "<f8")
+    return unpacked(b).view("<f8")
 
 
 def joint(h: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """A hash of BITS bits of a pair of hashes."""
+    """A 64-bit hash of a pair of hashes."""
     x = h * np.uint64(0x9E3779B97F4A7C15) + (w ^ (h >> np.uint64(31)))
     x ^= x >> np.uint64(30)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(27)
     x *= np.uint64(0x94D049BB133111EB)
-    return (x ^ (x >> np.uint64(31))) >> np.uint64(64 - BITS)
+    return x ^ (x >> np.uint64(31))
 
 
 def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,9 +104,9 @@ def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return y[new], back, order[new]
 
 
-def bounds(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Where each of the parts, equal ranges of hashes, begins and ends in sorted keys."""
-    cuts = [(p << BITS) // parts for p in range(1, parts)]
+def bounds(keys: np.ndarray, parts: int, bits: int) -> np.ndarray:
+    """Where each of the parts, equal ranges of hashes of so many bits, begins and ends in sorted keys."""
+    cuts = [(p << bits) // parts for p in range(1, parts)]
     return np.r_[0, np.searchsorted(keys, np.array(cuts, np.uint64)), len(keys)].astype(np.int64)
 
 
@@ -160,9 +164,9 @@ class Numbers(dict):
 
 
 def blocks(docs: DataFrame, tokens: int = BLOCK) -> DataFrame:
-    """A row per block of `tokens` tokens or, with its last document, more: its documents' ids, hold-out marks and token counts, vocabulary and tokens."""
+    """A row per block of `tokens` tokens or, with its last document, more: its documents' ids, hold-out marks and token counts, vocabulary, its places by frequency, and tokens as places among these."""
     of_id = docs.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("block", T.StringType()), T.StructField("doc_id", T.ArrayType(of_id)), *T.StructType.fromDDL("held array<boolean>, size array<int>, vocabulary binary, tokens binary").fields])
+    schema = T.StructType([T.StructField("block", T.StringType()), T.StructField("doc_id", T.ArrayType(of_id)), *T.StructType.fromDDL("held array<boolean>, size array<int>, vocabulary binary, ranked binary, tokens binary").fields])
     id_type = to_arrow_type(of_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,12 +177,16 @@ def blocks(docs: DataFrame, tokens: int = BLOCK) -> DataFrame:
 
         def block() -> pa.RecordBatch:
             vocabulary, back, _ = distinct(np.fromiter(map(word_key, numbers), np.uint64, len(numbers)))
+            text = back[np.concatenate(parts)]
+            ranked = np.argsort(-np.bincount(text, minlength=len(vocabulary)), kind="stable")  # frequent words have small numbers
+            rank = np.empty(len(ranked), np.int64)
+            rank[ranked] = np.arange(len(ranked))
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([f"{task}-{n}"]), pa.array([ids], pa.list_(id_type)), pa.array([held], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int32())),
-                    pa.array([packed_keys(vocabulary)], pa.binary()), pa.array([packed(back[np.concatenate(parts)])], pa.binary()),
+                    pa.array([packed_keys(vocabulary)], pa.binary()), pa.array([packed(ranked)], pa.binary()), pa.array([packed(rank[text])], pa.binary()),
                 ],
-                ["block", "doc_id", "held", "size", "vocabulary", "tokens"],
+                ["block", "doc_id", "held", "size", "vocabulary", "ranked", "tokens"],
             )
 
         for b in batches:
@@ -205,9 +213,9 @@ class Block:
     but for the longest, whether a held-out token has it as its history; and of orders above one the
     place of its history (-1: start marks alone, whose key is `start`) and of its n-gram without the first word."""
 
-    def __init__(self, row: dict, order: int):
+    def __init__(self, row: dict, order: int, bits: int):
         self.ids, self.held, self.sizes = row["doc_id"], np.array(row["held"], bool), np.array(row["size"])
-        at = unpacked(row["tokens"]).astype(np.int64)
+        at = unpacked(row["ranked"]).astype(np.int64)[unpacked(row["tokens"]).astype(np.int64)]
         self.document = np.repeat(np.arange(len(self.sizes)), self.sizes)
         unheard = self.held[self.document]
         first = np.zeros(len(at), bool)
@@ -215,17 +223,18 @@ class Block:
         self.keys, self.back, self.n, self.asked = [unpacked_keys(row["vocabulary"])], [at], [], []
         self.history, self.low, self.start = [None], [None], [None]
         word = key = self.keys[0][at]
-        start = START
+        start, shift = START, np.uint64(64 - bits)
+        self.bits = [64, *[bits] * (order - 1)]
         after = np.flatnonzero(unheard & ~first) - 1
         for k in range(1, order):
             before = np.r_[start, key[:-1]]
             before[first] = start
             key = joint(before, word)
-            u, back, one = distinct(key)
+            u, back, one = distinct(key >> shift)
             self.keys.append(u)
             self.history.append(np.where(first[one], -1, self.back[-1][one - 1]))
             self.low.append(self.back[-1][one])
-            self.start.append(start)
+            self.start.append(start if k == 1 else start >> shift)
             self.back.append(back)
             start = joint(np.array([start]), np.array([START]))[0]
         for u, back in zip(self.keys, self.back, strict=True):
@@ -235,15 +244,15 @@ class Block:
             self.asked.append(asked)
 
 
-def requests(found: DataFrame, parts: int, order: int) -> DataFrame:
+def requests(found: DataFrame, parts: int, order: int, bits: int) -> DataFrame:
     """For each block and part the keys of each order, and twice their counts, plus 1 for histories of held-out tokens."""
     fields = [f"{c}{k}" for k in range(order) for c in ("key", "n")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                x = Block(row, order)
-                ends = [bounds(u, parts) for u in x.keys]
+                x = Block(row, order, bits)
+                ends = [bounds(u, parts, n) for u, n in zip(x.keys, x.bits, strict=True)]
                 value = [2 * n + asked for n, asked in zip(x.n, x.asked, strict=True)]
                 columns = [pa.array(range(parts), pa.int32()), pa.array([row["block"]] * parts, pa.string())]
                 for u, v, e in zip(x.keys, value, ends, strict=True):
@@ -256,11 +265,10 @@ def requests(found: DataFrame, parts: int, order: int) -> DataFrame:
 def answers(asked: DataFrame, order: int) -> DataFrame:
     """For each part and block, by order, four times the totals asked for, plus 2 for histories of held-out tokens, plus 1 for the owner.
 
-    A row of each part without a block is its share of the count tables: keys and totals by order,
-    and by order the counts that there are and how many keys have each.
+    A row of each part without a block has by order the counts that there are and how many keys have each.
     """
     of = range(order)
-    fields = ["block string", "part int", *(f"answer{k} binary" for k in of), *(f"key{k} binary" for k in of), *(f"{c}{k} array<long>" for k in of for c in ("count", "types"))]
+    fields = ["block string", "part int", *(f"answer{k} binary" for k in of), *(f"{c}{k} array<long>" for k in of for c in ("count", "types"))]
 
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by("block")
@@ -278,10 +286,8 @@ def answers(asked: DataFrame, order: int) -> DataFrame:
             owner = np.full(len(u), len(every), np.int64)
             np.minimum.at(owner, back, np.arange(len(every)))
             answer = 4 * total[back] + 2 * held[back] + ((owner[back] == np.arange(len(every))) & (total[back] > 0))
-            some = total > 0
-            count, types = np.unique(total[some], return_counts=True)
-            out[f"answer{k}"] = pa.array([*(packed(x) for x in np.split(answer, ends)), packed(total[some])], pa.binary())
-            out[f"key{k}"] = pa.array([*[None] * n, packed_keys(u[some])], pa.binary())
+            count, types = np.unique(total[total > 0], return_counts=True)
+            out[f"answer{k}"] = pa.array([*(packed(x) for x in np.split(answer, ends)), None], pa.binary())
             out[f"count{k}"] = pa.array([*[None] * n, count.tolist()], pa.list_(pa.int64()))
             out[f"types{k}"] = pa.array([*[None] * n, types.tolist()], pa.list_(pa.int64()))
         return pa.table({f.split()[0]: out[f.split()[0]] for f in fields})
@@ -305,7 +311,7 @@ def model(tables: DataFrame, documents: int, order: int) -> Model:
     return Model(tokens, sum(types[0].values()), documents, discounts, max(1 - mass, 1e-300))
 
 
-def evaluated(found: DataFrame, answered: DataFrame, m: Model, parts: int, order: int, tasks: int) -> DataFrame:
+def evaluated(found: DataFrame, answered: DataFrame, m: Model, parts: int, order: int, bits: int, tasks: int) -> DataFrame:
     """Rows of kind 0: documents, with what of their score needs no alpha. Rows of kind 1: a block's share
     of the histories of one order in one part (keys, sums of P(w | shorter), sums of P(w | h)), and the
     unseen n-grams of its documents there (keys of histories, document, number)."""
@@ -321,7 +327,7 @@ def evaluated(found: DataFrame, answered: DataFrame, m: Model, parts: int, order
 
         right = right.sort_by("part")
         for row in left.to_pylist():
-            x, docs = Block(row, order), len(row["size"])
+            x, docs = Block(row, order, bits), len(row["size"])
             answer = [np.concatenate([unpacked(b.as_py()) for b in right.column(f"answer{k}")]).astype(INT) for k in range(order)]
             total = [a >> 2 for a in answer]
             p = m.unigram(total[0])
@@ -347,7 +353,7 @@ def evaluated(found: DataFrame, answered: DataFrame, m: Model, parts: int, order
                 n_known=by_doc((total[0] > 0)[x.back[0]]).astype(int).tolist(), base_score=by_doc(m.base(total[0])[x.back[0]]).tolist(), score=by_doc(log_p[x.back[-1]]).tolist(),
             )
             for level, (h, s_low, s_seen, g, at, times) in enumerate(shares):
-                e, f = bounds(h, parts), bounds(g, parts)
+                e, f = (bounds(y, parts, x.bits[level]) for y in (h, g))
                 some = [q for q in range(parts) if e[q] < e[q + 1] or f[q] < f[q + 1]]
                 cut = lambda f, v, e: [f(v[e[q] : e[q + 1]]) for q in some]  # noqa: E731, B023
                 emit(
@@ -402,10 +408,12 @@ def scored(docs: DataFrame, order: int = ORDER, block: int = BLOCK, part: int =
     total, documents, n_blocks = found.agg(F.sum(size), F.sum(train), F.count(F.lit(1))).first()
     shuffled = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(shuffled, -(-(total or 0) // 1024)), -(-(total or 0) // part))
-    asked = requests(found, parts, order).repartition(max(1, parts), "part")
-    answered = kept(answers(asked, order), "counts")
+    bits = min(64, (total or 1).bit_length() + SPARE)
+    answered = kept(answers(requests(found, parts, order, bits).repartition(max(1, parts), "part"), order), "counts")
+    freed(docs.sparkSession)
     m = model(answered.filter("block IS NULL"), documents or 0, order)
-    result = kept(evaluated(found, answered.filter("block IS NOT NULL"), m, parts, order, max(1, min(n_blocks, parts))), "evaluated")
+    result = kept(evaluated(found, answered.filter("block IS NOT NULL"), m, parts, order, bits, max(1, min(n_blocks, parts))), "evaluated")
+    freed(docs.sparkSession)
     shares = result.filter("kind = 1").select("part", "block", *"abcdef")
     return result.filter("kind = 0").join(backoffs(shares), ["block", "at"], "left").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(m.tokens).cast("long").alias("train_tokens"), "base_score", (F.col("score") + F.coalesce("backoff", F.lit(0.0))).alias("score")
