@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -14,6 +13,10 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: Whether Spark deletes an execution's shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, what the context was given,
     or for a single process (tests) a folder of its own; on a cluster that is an error."""
@@ -32,18 +35,20 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def kept(df: DataFrame, label: str) -> DataFrame:
-    """df written to the shared folder and read back: lineage ends here, and a lost executor loses nothing."""
+    """df written to the shared folder and read back: lineage ends here, and a lost executor loses nothing.
+
+    The shuffle files behind it, which nothing needs once it is written, are deleted then.
+    """
     spark, path = df.sparkSession, new_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def freed(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more; its driver notices them at a collection."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def discard(spark: SparkSession) -> None:
     """Delete all tables that this application has kept; none of its DataFrames can be read afterwards."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/lectern/{spark.sparkContext.applicationId}")
