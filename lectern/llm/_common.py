@@ -49,10 +49,20 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete the kept table df, from which nothing is read any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        _delete(df.sparkSession, path)
+
+
 def discard(spark: SparkSession) -> None:
     """Delete all tables that this application has kept; none of its DataFrames can be read afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/lectern/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_dir(spark)}/lectern/{spark.sparkContext.applicationId}")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

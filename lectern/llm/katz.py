@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lectern.llm._common import kept
+from lectern.llm._common import dropped, kept
 
 ORDER, BLOCK, PART, CUT = 3, 1 << 20, 2 << 20, 5
 #: N-grams above words have hashes of log2(tokens) + SPARE bits, so that at any size one in 2 ** SPARE falls together with another.
@@ -412,6 +412,8 @@ def scored(docs: DataFrame, order: int = ORDER, block: int = BLOCK, part: int =
     answered = kept(answers(requests(found, parts, order, bits).repartition(max(1, parts), "part"), order), "counts")
     m = model(answered.filter("block IS NULL"), documents or 0, order)
     result = kept(evaluated(found, answered.filter("block IS NOT NULL"), m, parts, order, bits, max(1, min(n_blocks, parts))), "evaluated")
+    dropped(found)
+    dropped(answered)
     shares = result.filter("kind = 1").select("part", "block", *"abcdef")
     return result.filter("kind = 0").join(backoffs(shares), ["block", "at"], "left").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(m.tokens).cast("long").alias("train_tokens"), "base_score", (F.col("score") + F.coalesce("backoff", F.lit(0.0))).alias("score")
