@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.plans import audit, groups, ordered, reconcile, textual
+from lectern.plans import audit, groups, ordered, pages, reconcile, textual
 
-MODULES = (reconcile, groups, ordered, textual, audit)
+MODULES = (reconcile, groups, ordered, textual, audit, pages)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -54,11 +54,17 @@ def truncated_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def interval_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with no other line of the supplier and order whose quantity and price lie within 1 and 50 of theirs; joined by supplier and part."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", F.col("l_quantity").cast("long").alias("q"))
-    w = Window.partitionBy("l_suppkey").orderBy("q", "l_orderkey", "l_linenumber", "l_partkey")
-    gap = F.least(F.coalesce(F.col("q") - F.lag("q").over(w), F.lit(99)), F.coalesce(F.lead("q").over(w) - F.col("q"), F.lit(99)))
-    return li.withColumn("gap", gap).filter("gap > 1").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", F.col("gap").cast("long"))
+    """Price intervals of lines that are not the catalogued one of their part within 300 at either end.
+
+    A line's runs from its price in units by as much as its quantity, a part's from its price by its size.
+    """
+    q = F.col("l_quantity").cast("long")
+    low = F.floor(F.col("l_extendedprice")).cast("long")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", low.alias("low"), (low + q).alias("high"))
+    start = F.floor(F.col("p_retailprice")).cast("long")
+    known = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), start.alias("from"), (start + F.col("p_size")).alias("to"))
+    same = (F.abs(F.col("low") - F.col("from")) <= 300) & (F.abs(F.col("high") - F.col("to")) <= 300)
+    return li.join(known, "l_partkey", "left").filter(~F.coalesce(same, F.lit(False))).select("l_orderkey", "l_linenumber", "l_partkey", "low", "high", "from", "to")
 
 
 def listing_both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,9 +137,9 @@ ORACLES = {
         SELECT p_partkey, printed, CASE WHEN ends_with(printed, '...') THEN starts_with(p_name, printed[1:-4]) ELSE printed = p_name END AS ok FROM (
           SELECT *, CASE p_size % 3 WHEN 0 THEN p_name[1:6] || '...' WHEN 1 THEN p_name ELSE p_name || '!' END AS printed FROM part)""",
     "interval_equality": """
-        SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, gap::BIGINT AS gap FROM (
-          SELECT *, least(coalesce(q - lag(q) OVER w, 99), coalesce(lead(q) OVER w - q, 99)) AS gap FROM (SELECT *, l_quantity::BIGINT AS q FROM lineitem)
-          WINDOW w AS (PARTITION BY l_suppkey ORDER BY q, l_orderkey, l_linenumber, l_partkey)) WHERE gap > 1""",
+        SELECT l_orderkey, l_linenumber, l_partkey, low, high, "from", "to" FROM (SELECT *, floor(l_extendedprice)::BIGINT AS low, floor(l_extendedprice)::BIGINT + l_quantity::BIGINT AS high FROM lineitem)
+        LEFT JOIN (SELECT p_partkey, floor(p_retailprice)::BIGINT AS "from", floor(p_retailprice)::BIGINT + p_size AS "to" FROM part) ON p_partkey = l_partkey
+        WHERE NOT coalesce(abs(low - "from") <= 300 AND abs(high - "to") <= 300, false)""",
     "listing_both_ways": """
         SELECT source, count(DISTINCT d.doc_id) AS there, count(l.doc_id) AS listed FROM documents d LEFT JOIN (SELECT * FROM labels WHERE toxic = 1) l USING (doc_id) GROUP BY 1""",
     "output_contract": " UNION ALL ".join(

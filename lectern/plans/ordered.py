@@ -106,10 +106,14 @@ def range_join_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rect_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line boxes of an order that overlap: how much of the first lies in the second, in thousandths."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_partkey") % 40).alias("x"), (F.col("l_partkey") % 40 + F.col("l_quantity").cast("long") + 1).alias("y"))
-    a = li.select("l_orderkey", F.col("l_linenumber").alias("a"), F.col("l_partkey").alias("ap"), F.col("x").alias("a0"), F.col("y").alias("a1"))
-    b = li.select("l_orderkey", F.col("l_linenumber").alias("b"), F.col("l_partkey").alias("bp"), F.col("x").alias("b0"), F.col("y").alias("b1"))
+    """Line boxes of an order that overlap, each pair once: how much of the first lies in the second, in thousandths.
+
+    Line numbers repeat within an order, so lines are told apart by their place in it.
+    """
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
+    li = table(spark, sf_dir, "lineitem").withColumn("place", F.row_number().over(w).cast("long")).select("l_orderkey", "place", "l_partkey", (F.col("l_partkey") % 40).alias("x"), (F.col("l_partkey") % 40 + F.col("l_quantity").cast("long") + 1).alias("y"))
+    a = li.select("l_orderkey", F.col("place").alias("a"), F.col("l_partkey").alias("ap"), F.col("x").alias("a0"), F.col("y").alias("a1"))
+    b = li.select("l_orderkey", F.col("place").alias("b"), F.col("l_partkey").alias("bp"), F.col("x").alias("b0"), F.col("y").alias("b1"))
     pairs = ranges.overlap_join(a, b, ["l_orderkey"], ("a0", "a1"), ("b0", "b1"), 64).filter("a < b")
     return pairs.select("l_orderkey", "a", "b", "ap", "bp", F.floor(1000 * ranges.overlap_share(("a0", "a1"), ("b0", "b1"))).cast("long").alias("share"))
 
@@ -177,7 +181,7 @@ ORACLES = {
     "range_join_window": f"""
         SELECT v.event_id AS view_id, c.event_id AS click_id FROM {_E} v JOIN {_E} c ON v.user_id = c.user_id AND v.event_type = 'view' AND c.event_type = 'click' AND c.sec BETWEEN v.sec AND v.sec + 300""",
     "rect_overlap": """
-        WITH x AS (SELECT l_orderkey, l_linenumber AS n, l_partkey AS p, l_partkey % 40 AS x, l_partkey % 40 + l_quantity::BIGINT + 1 AS y FROM lineitem)
+        WITH x AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice) AS n, l_partkey AS p, l_partkey % 40 AS x, l_partkey % 40 + l_quantity::BIGINT + 1 AS y FROM lineitem)
         SELECT a.l_orderkey, a.n AS a, b.n AS b, a.p AS ap, b.p AS bp, (1000 * greatest(0, least(a.y, b.y) - greatest(a.x, b.x)) // (a.y - a.x))::BIGINT AS share
         FROM x a JOIN x b ON a.l_orderkey = b.l_orderkey AND a.n < b.n AND a.x <= b.y AND b.x <= a.y""",
     "lost_ranges": """

@@ -29,8 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df.checkpoint() in the folder that the cluster names in spark.checkpoint.dir; a folder of its own where none is set (tests)."""
+    """df.checkpoint() in the folder that the cluster names in spark.checkpoint.dir; a folder of its own in a single process (tests), an error on a cluster."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lectern-"))
+        found = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not found and sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(found or tempfile.mkdtemp(prefix="lectern-"))
     return df.checkpoint()
