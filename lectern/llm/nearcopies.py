@@ -1,16 +1,19 @@
 """Near copies by the exact Jaccard similarity of word shingles.
 
 Two texts are linked if the sets of their five-word shingles have a similarity of at least 0.8, and
-linked texts form groups. All shingles have one order, those that are common in a bounded sample
-last. Sets of similarity p / q share a shingle among the first n - ceil(n * p / q) + 1 of each, n
-being the size of the set; so only these are shuffled, and no pair is lost, whatever the sample.
+linked texts form groups. All shingles have one order, common ones last. Sets of similarity p / q
+share a shingle among the first n - ceil(n * p / q) + 1 of each, n being the size of the set; so
+only these are shuffled, and no pair is lost, whatever the order. Common ones come from a bounded
+sample first. Sets that then still share a shingle of their prefixes with OFTEN others or more are
+read whole and their shingles counted, and prefixes are taken anew in the order of these counts: so
+texts that share a passage are not compared for it, however many they are, unless it is most of them.
 
 Sets that share such a shingle are candidates, and so are those whose SimHash fingerprints the
 vantage-point tree of `simhash` links within RADIUS bits; the tree alone reaches few sets of 0.8, as
-those differ in about 10 of 64 bits, a radius at which no vantage splits. In a first round a set is
-compared with what the tree gives and with the one before it by size under each shingle of its
-prefix, which links large groups without all their pairs; a second round compares what is still
-apart. Both leave out pairs for which the sizes and the places of the shared shingle, or the
+those differ in about 10 of 64 bits, a radius at which no vantage splits. Rounds link large groups
+without all their pairs. The sets before a set by size, one under each shingle of its prefix, are its
+neighbours. First it is compared with what the tree gives and with the two neighbours it shares most
+with, then with other neighbours that are still apart, then with all sets that are. All leave out pairs for which the sizes and the places of the shared shingle, or the
 sketches of the sets, rule 0.8 out: a sketch has the parity of the number of shingles at each of 512
 bits, so it differs in no more bits than the sets differ in shingles.
 
@@ -32,11 +35,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.llm import simhash
-from lectern.llm._common import fresh, joined, kept
+from lectern.llm._common import dropped, fresh, joined, kept
 
 SHINGLE, SIMILAR = 5, (4, 5)
 #: About so many documents decide which shingles are common: those in COMMON of them or more, KNOWN at most.
 SAMPLE, COMMON, KNOWN = 8_192, 4, 65_536
+#: Shingles that so many sets have count as common too; COUNTED at most (16 MB of hashes, 16 of ranks), the most common.
+OFTEN, COUNTED = 8, 2_000_000
+#: So many neighbours are compared first.
+NEAREST = 2
 #: A task gives the prefix of a set once, as long as it remembers it among so many.
 SEEN = 100_000
 #: 64-bit words of a sketch.
@@ -84,7 +91,7 @@ def alike(a: np.ndarray, b: np.ndarray, similar: tuple[int, int] = SIMILAR) -> b
 
 
 def common(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The common shingles of a sample of docs(doc_id, text), sorted, and the rank of each, the most common last."""
+    """The common shingles of a sample of docs(doc_id, text), sorted, and about how many sets have each."""
     each = max(1, docs.count() // SAMPLE)
     some = docs.select("doc_id", "text").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(each)) == 0).limit(2 * SAMPLE)
 
@@ -95,15 +102,58 @@ def common(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), number(s))), pa.array(s.view(np.int64))], ["id", "shingle"])
 
     counted = some.mapInArrow(run, "id long, shingle long").distinct().groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    top = counted.filter(F.col("n") >= COMMON).orderBy(F.desc("n"), "shingle").limit(KNOWN).select("shingle").toArrow()
-    found = top.column(0).to_numpy().astype(np.int64).view(np.uint64)
+    found, ranks = fetched(counted, COMMON, KNOWN)
+    return found, ranks * each
+
+
+def fetched(counted: DataFrame, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of counted(shingle, n) with an n of least or more, sorted, and the n of each; of over most those of largest n."""
+    top = counted.filter(F.col("n") >= least).orderBy(F.desc("n"), "shingle").limit(most).select("shingle", "n").toArrow()
+    found, ranks = (top.column(i).to_numpy().astype(np.int64) for i in range(2))
+    found = found.view(np.uint64)
     order = np.argsort(found)
-    return found[order], (len(found) - order).astype(np.int64)
+    return found[order], ranks[order]
+
+
+def counts(found: DataFrame, docs: DataFrame, n: int) -> DataFrame | None:
+    """shingle and n, how many have it of those sets in whose prefix (in marks found) is a shingle that OFTEN prefixes have; None without such sets."""
+    rows = found.filter(F.col("prefix").isNotNull()).select("key", F.explode("prefix").alias("shingle"))
+    crowded = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).filter(F.col("n") >= OFTEN)
+    crowded = kept(crowded.select("key").distinct(), "crowded")
+    if not crowded.limit(1).count():
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            each = [np.frombuffer(x, "<u8") for x in b.column(0).to_pylist()]
+            s, k = np.unique(np.concatenate([*each, np.empty(0, np.uint64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(k.astype(np.int64))], ["shingle", "n"])
+
+    return kept(whole(docs, crowded, n).select("shingles").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= OFTEN), "counts")
+
+
+def merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Both tables of shingles and counts as one, sorted; b counts where both have a shingle."""
+    alone = ~np.isin(a[0], b[0])
+    s, k = np.concatenate([a[0][alone], b[0]]), np.concatenate([a[1][alone], b[1]])
+    order = np.argsort(s)
+    return s[order], k[order]
 
 
 def marks(docs: DataFrame, n: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """doc_id, key (a hash of the text), id (the number of its set) and, once a task and text, the set's fingerprint, size, sketch and prefix."""
-    known, ranks = common(docs, n)
+    order = common(docs, n)
+    found = marked(docs, order, n, similar)
+    counted = counts(found, docs, n)
+    if counted is None:
+        return found
+    dropped(found)
+    return marked(docs, merged(order, fetched(counted, OFTEN, COUNTED)), n, similar)
+
+
+def marked(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], n: int, similar: tuple[int, int]) -> DataFrame:
+    """marks, with prefixes by the given order."""
+    known, ranks = order
     names = ["doc_id", "key", "id", "fingerprint", "size", "sketch", "prefix"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,11 +189,25 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, similar:
     pairs = kept(pairs.filter((p + q) * differ <= (q - p) * (F.col("m") + F.col("n"))).select("a", "b"), "pairs")
     involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     involved = kept(sets.select("id", "key").join(involved, "id", "left_semi").select("key"), "involved")
-    many = involved.count()
-    if not many:
+    if not involved.limit(1).count():
         return pairs
-    if many <= SENT:
-        involved = F.broadcast(involved)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            of = lambda c: (np.frombuffer(x, "<u8") for x in c.to_pylist())
+            keep = [alike(x, y, similar) for x, y in zip(of(b.column(2)), of(b.column(3)), strict=True)]
+            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    read = whole(docs, involved, n)
+    both = pairs.join(read.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
+    both = both.join(read.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+    return kept(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "linked")
+
+
+def whole(docs: DataFrame, keys: DataFrame, n: int) -> DataFrame:
+    """id and shingles, all of them, of each set that a text has whose key is in the kept table keys."""
+    if keys.count() <= SENT:
+        keys = F.broadcast(keys)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -159,17 +223,8 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, similar:
                 seen.add(key)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.binary())], ["id", "shingles"])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            of = lambda c: (np.frombuffer(x, "<u8") for x in c.to_pylist())
-            keep = [alike(x, y, similar) for x, y in zip(of(b.column(2)), of(b.column(3)), strict=True)]
-            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    texts = docs.select(text_key().alias("key"), "text").join(involved, "key", "left_semi")
-    whole = texts.mapInArrow(read, "id long, shingles binary").dropDuplicates(["id"])
-    both = pairs.join(whole.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
-    both = both.join(whole.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    return kept(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "linked")
+    texts = docs.select(text_key().alias("key"), "text").join(keys, "key", "left_semi")
+    return texts.mapInArrow(read, "id long, shingles binary").dropDuplicates(["id"])
 
 
 def treed(sets: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -204,10 +259,24 @@ def groups(found: DataFrame, docs: DataFrame, n: int = SHINGLE, similar: tuple[i
 
     rows = several(rows.withColumn("y", F.lag(F.struct("id", "size", "place")).over(by.orderBy("size", "id"))), "id")
     rows = kept(rows.select("shingle", F.struct("id", "size", "place").alias("x"), "y"), "shared")
-    candidates = pairs(rows.filter("y IS NOT NULL"), "x", "y").unionByName(treed(sets)).distinct()
-    first = linked(candidates, sets, docs, n, similar)
-    roots = kept(simhash.components(first), "roots").select(F.col("node").alias("id"), "root")
-    roots = F.broadcast(roots) if roots.count() <= SENT else roots
+    before = rows.filter("y IS NOT NULL").filter(possible("x", "y")).groupBy(F.col("x.id").alias("id"), F.col("y.id").alias("near")).agg(F.count(F.lit(1)).alias("n"))
+    before = before.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "near")), asc=False).alias("near"))
+    before = kept(before.select("id", F.col("near.near").alias("near")), "neighbours")
+
+    def neighbours(near) -> DataFrame:
+        return before.select("id", F.explode(near).alias("near")).select(F.least("id", "near").alias("a"), F.greatest("id", "near").alias("b"))
+
+    def rooted(edges: DataFrame) -> DataFrame:
+        roots = kept(simhash.components(edges), "roots").select(F.col("node").alias("id"), "root")
+        return F.broadcast(roots) if roots.count() <= SENT else roots
+
+    first = linked(neighbours(F.slice("near", 1, NEAREST)).unionByName(treed(sets)).distinct(), sets, docs, n, similar)
+    roots, others = rooted(first), neighbours(F.slice("near", NEAREST + 1, F.size("near")))
+    for c in "ab":
+        others = others.join(roots.withColumnsRenamed({"id": c, "root": f"{c}_root"}), c, "left").withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
+    others = others.filter("a_root <> b_root").select("a", "b").distinct()
+    first = kept(first.unionByName(linked(others, sets, docs, n, similar)), "first")
+    roots = rooted(first)
     rows = rows.select("shingle", "x.*").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     rows = kept(several(rows, "root"), "apart")
     x, y = (rows.select("shingle", F.struct("id", "size", "place", "root").alias(c)) for c in "xy")
