@@ -13,7 +13,8 @@ vantage-point tree of `simhash` links within RADIUS bits; the tree alone reaches
 those differ in about 10 of 64 bits, a radius at which no vantage splits. Rounds link large groups
 without all their pairs. The sets before a set by size, one under each shingle of its prefix, are its
 neighbours. First it is compared with what the tree gives and with the two neighbours it shares most
-with, then with other neighbours that are still apart, then with all sets that are. All leave out pairs for which the sizes and the places of the shared shingle, or the
+with, then with other neighbours that are still apart, then with all sets that are. Where few of a large group
+are alike to their neighbours, that last round compares nearly all its pairs. All leave out pairs for which the sizes and the places of the shared shingle, or the
 sketches of the sets, rule 0.8 out: a sketch has the parity of the number of shingles at each of 512
 bits, so it differs in no more bits than the sets differ in shingles.
 
