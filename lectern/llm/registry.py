@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import mixing, warc
+from lectern.llm import balltree, mixing, warc
+from lectern.llm.balltree import op13_ball_tree_centroids
 from lectern.llm.compression import op7_compression_quality
 from lectern.llm.decontaminate import op6_window_decontamination
 from lectern.llm.katz import op8_katz_backoff
@@ -18,7 +19,7 @@ from lectern.llm.sharding import op10_feistel_shards
 from lectern.llm.simhash import op4_simhash_vptree
 from lectern.llm.warc import op2_arc_to_warc
 
-QUERIES = (op1_budget_tree, op2_arc_to_warc, op3_pii_weak_labels, op4_simhash_vptree, op5_weak_rules, op6_window_decontamination, op7_compression_quality, op8_katz_backoff, op9_secret_owners, op10_feistel_shards)
+QUERIES = (op1_budget_tree, op2_arc_to_warc, op3_pii_weak_labels, op4_simhash_vptree, op5_weak_rules, op6_window_decontamination, op7_compression_quality, op8_katz_backoff, op9_secret_owners, op10_feistel_shards, op13_ball_tree_centroids)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -26,4 +27,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return mixing.ORACLES | warc.ORACLES
+    return mixing.ORACLES | warc.ORACLES | balltree.ORACLES
