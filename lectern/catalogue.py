@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.plans import audit, groups, marking, ordered, pages, reconcile, textual
+from lectern.plans import audit, groups, marking, ordered, pages, reconcile, schemes, textual
 
-MODULES = (reconcile, groups, ordered, textual, audit, pages, marking)
+MODULES = (reconcile, groups, ordered, textual, audit, pages, marking, schemes)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
