@@ -13,8 +13,10 @@ vantage-point tree of `simhash` links within RADIUS bits; the tree alone reaches
 those differ in about 10 of 64 bits, a radius at which no vantage splits. Rounds link large groups
 without all their pairs. The sets before a set by size, one under each shingle of its prefix, are its
 neighbours. First it is compared with what the tree gives and with the two neighbours it shares most
-with, then with other neighbours that are still apart, then with all sets that are. Where few of a large group
-are alike to their neighbours, that last round compares nearly all its pairs. All leave out pairs for which the sizes and the places of the shared shingle, or the
+with, then with other neighbours that are still apart. Then, in rounds, sets still apart meet a few others of other
+groups under each shingle, in another order each time: sets of a large group that are alike to a fifth of it join
+it within a few rounds, for a few comparisons each. When few pairs that meet are alike, all sets still apart that
+share a shingle are compared, so that no link is lost. All leave out pairs for which the sizes and the places of the shared shingle, or the
 sketches of the sets, rule 0.8 out: a sketch has the parity of the number of shingles at each of 512
 bits, so it differs in no more bits than the sets differ in shingles.
 
@@ -45,6 +47,8 @@ SAMPLE, COMMON, KNOWN = 8_192, 4, 65_536
 OFTEN, COUNTED = 8, 2_000_000
 #: So many neighbours are compared first.
 NEAREST = 2
+#: Then sets still apart meet so many others under each shingle in up to so many rounds, until at most one pair in RARE is alike.
+PARTNERS, TURNS, RARE = 4, 6, 16
 #: A task gives the prefix of a set once, as long as it remembers it among so many.
 SEEN = 100_000
 #: 64-bit words of a sketch.
@@ -271,18 +275,32 @@ def groups(found: DataFrame, docs: DataFrame, n: int = SHINGLE, similar: tuple[i
         roots = kept(simhash.components(edges), "roots").select(F.col("node").alias("id"), "root")
         return F.broadcast(roots) if roots.count() <= SENT else roots
 
+    def still_apart(rows: DataFrame, edges: DataFrame) -> DataFrame:
+        """rows with the root of each set, of the shingles whose sets are not all in one group."""
+        return several(rows.join(rooted(edges), "id", "left").withColumn("root", F.coalesce("root", "id")), "root")
+
     first = linked(neighbours(F.slice("near", 1, NEAREST)).unionByName(treed(sets)).distinct(), sets, docs, n, similar)
     roots, others = rooted(first), neighbours(F.slice("near", NEAREST + 1, F.size("near")))
     for c in "ab":
         others = others.join(roots.withColumnsRenamed({"id": c, "root": f"{c}_root"}), c, "left").withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
     others = others.filter("a_root <> b_root").select("a", "b").distinct()
-    first = kept(first.unionByName(linked(others, sets, docs, n, similar)), "first")
-    roots = rooted(first)
-    rows = rows.select("shingle", "x.*").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    rows = kept(several(rows, "root"), "apart")
+    edges = kept(first.unionByName(linked(others, sets, docs, n, similar)), "edges")
+    rows, item = rows.select("shingle", "x.*"), F.struct("id", "size", "place", "root")
+    for turn in range(TURNS):
+        apart = kept(still_apart(rows, edges), "apart")
+        order = by.orderBy(F.xxhash64("id", F.lit(turn)), "id")
+        others = F.array(*(F.lag(item, k).over(order) for k in range(1, PARTNERS + 1)))
+        met = apart.select("shingle", item.alias("x"), others.alias("y")).withColumn("y", F.explode("y"))
+        met = kept(pairs(met.filter("y IS NOT NULL AND x.root <> y.root"), "x", "y").distinct(), "met")
+        found = linked(met, sets, docs, n, similar)
+        edges = kept(edges.unionByName(found), "edges")
+        rows = apart.drop("root")
+        if RARE * found.count() <= met.count():
+            break
+    rows = kept(still_apart(rows, edges), "apart")
     x, y = (rows.select("shingle", F.struct("id", "size", "place", "root").alias(c)) for c in "xy")
-    second = x.join(y, "shingle").filter("x.id < y.id AND x.root <> y.root")
-    edges = first.unionByName(linked(pairs(second, "x", "y").distinct(), sets, docs, n, similar))
+    last = x.join(y, "shingle").filter("x.id < y.id AND x.root <> y.root")
+    edges = edges.unionByName(linked(pairs(last, "x", "y").distinct(), sets, docs, n, similar))
     roots = kept(simhash.components(edges), "roots").select(F.col("node").alias("id"), "root")
     return sets.select("id").join(roots, "id", "left").select(F.col("id").alias("node"), F.coalesce("root", "id").alias("root"))
 
