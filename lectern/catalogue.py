@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.plans import audit, closures, groups, marking, ordered, pages, reconcile, schemes, textual
+from lectern.plans import audit, closures, groups, items, marking, ordered, pages, reconcile, schemes, textual
 
-MODULES = (reconcile, groups, ordered, textual, audit, pages, marking, schemes, closures)
+MODULES = (reconcile, groups, ordered, textual, audit, pages, marking, schemes, closures, items)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
