@@ -242,6 +242,28 @@ def treed(sets: DataFrame, radius: int = RADIUS) -> DataFrame:
     return equal.unionByName(near).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
+def sent(roots: DataFrame) -> DataFrame:
+    return F.broadcast(roots) if roots.count() <= SENT else roots
+
+
+def between(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """Those of edges(a, b) that are not within one group, with the roots of their ends."""
+    of = sent(roots)
+    for c in "ab":
+        edges = edges.join(of.withColumnsRenamed({"id": c, "root": f"{c}_root"}), c, "left").withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
+    return edges.filter("a_root <> b_root")
+
+
+def rooted(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """roots(id, root), the groups so far, with those that edges(a, b) join: components only of the roots that change."""
+    joins = between(roots, edges).select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct()
+    changed = kept(simhash.components(joins), "changed")
+    moved = sent(changed.select(F.col("node").alias("root"), F.col("root").alias("to")))
+    old = roots.join(moved, "root", "left").select("id", F.coalesce("to", "root").alias("root"))
+    new = changed.select(F.col("node").alias("id"), "root").join(roots, "id", "left_anti")
+    return kept(old.unionByName(new), "roots")
+
+
 def groups(found: DataFrame, docs: DataFrame, n: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """node (the number of a set) and root, the smallest number of its group, of each set in marks of docs."""
     p, q = similar
@@ -271,37 +293,30 @@ def groups(found: DataFrame, docs: DataFrame, n: int = SHINGLE, similar: tuple[i
     def neighbours(near) -> DataFrame:
         return before.select("id", F.explode(near).alias("near")).select(F.least("id", "near").alias("a"), F.greatest("id", "near").alias("b"))
 
-    def rooted(edges: DataFrame) -> DataFrame:
-        roots = kept(simhash.components(edges), "roots").select(F.col("node").alias("id"), "root")
-        return F.broadcast(roots) if roots.count() <= SENT else roots
-
-    def still_apart(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    def still_apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
         """rows with the root of each set, of the shingles whose sets are not all in one group."""
-        return several(rows.join(rooted(edges), "id", "left").withColumn("root", F.coalesce("root", "id")), "root")
+        return several(rows.join(sent(roots), "id", "left").withColumn("root", F.coalesce("root", "id")), "root")
 
     first = linked(neighbours(F.slice("near", 1, NEAREST)).unionByName(treed(sets)).distinct(), sets, docs, n, similar)
-    roots, others = rooted(first), neighbours(F.slice("near", NEAREST + 1, F.size("near")))
-    for c in "ab":
-        others = others.join(roots.withColumnsRenamed({"id": c, "root": f"{c}_root"}), c, "left").withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
-    others = others.filter("a_root <> b_root").select("a", "b").distinct()
-    edges = kept(first.unionByName(linked(others, sets, docs, n, similar)), "edges")
+    roots = rooted(sets.select("id", F.col("id").alias("root")).limit(0), first)
+    others = between(roots, neighbours(F.slice("near", NEAREST + 1, F.size("near")))).select("a", "b").distinct()
+    roots = rooted(roots, linked(others, sets, docs, n, similar))
     rows, item = rows.select("shingle", "x.*"), F.struct("id", "size", "place", "root")
     for turn in range(TURNS):
-        apart = kept(still_apart(rows, edges), "apart")
+        apart = kept(still_apart(rows, roots), "apart")
         order = by.orderBy(F.xxhash64("id", F.lit(turn)), "id")
         others = F.array(*(F.lag(item, k).over(order) for k in range(1, PARTNERS + 1)))
         met = apart.select("shingle", item.alias("x"), others.alias("y")).withColumn("y", F.explode("y"))
         met = kept(pairs(met.filter("y IS NOT NULL AND x.root <> y.root"), "x", "y").distinct(), "met")
         found = linked(met, sets, docs, n, similar)
-        edges = kept(edges.unionByName(found), "edges")
+        roots = rooted(roots, found)
         rows = apart.drop("root")
         if RARE * found.count() <= met.count():
             break
-    rows = kept(still_apart(rows, edges), "apart")
+    rows = kept(still_apart(rows, roots), "apart")
     x, y = (rows.select("shingle", F.struct("id", "size", "place", "root").alias(c)) for c in "xy")
     last = x.join(y, "shingle").filter("x.id < y.id AND x.root <> y.root")
-    edges = edges.unionByName(linked(pairs(last, "x", "y").distinct(), sets, docs, n, similar))
-    roots = kept(simhash.components(edges), "roots").select(F.col("node").alias("id"), "root")
+    roots = rooted(roots, linked(pairs(last, "x", "y").distinct(), sets, docs, n, similar))
     return sets.select("id").join(roots, "id", "left").select(F.col("id").alias("node"), F.coalesce("root", "id").alias("root"))
 
 
