@@ -6,14 +6,17 @@ becomes a WARC record with a name-based UUID, an ISO timestamp, a type and SHA-1
 records with equal payloads of LEAST bytes or more, the one with the largest key is a response and
 the others are revisits that point to it; a revisit keeps its HTTP headers and no payload.
 
+Each record is a gzip member of its own, so that a reader who knows its offset can fetch it alone.
 Archives are written by Spark's text writer and read by its binaryFile reader, so they can lie in
-any store that Spark knows. Records are ended by the separator that the format asks for, which is
-the writer's line separator. A file holds `records` records at most, and is parsed as a stream;
-only digests and keys are shuffled, and the files themselves once, compressed.
+any store that Spark knows. A row of the writer is a file: tasks pack members until `size` bytes or
+`records` records are reached, and a larger record has a file to itself; what the writer puts after
+a row is an empty member. Files are parsed as streams, a record at a time; only digests and keys
+are shuffled, and the files themselves once, compressed.
 
 Defined results: a null payload is empty; a null url is `urn:missing`, and white space in a url is
-percent-encoded; keys may be null or repeated: of equal payloads, all rows with the largest key are
-responses, and a null key is smaller than any other; an empty table gives an empty archive.
+percent-encoded by its UTF-8 bytes; keys are numbers or strings, null or repeated: of equal payloads,
+all rows with the largest key (as a number, then as a string) are responses, and a null key is smaller
+than any other; an empty table gives an empty archive.
 """
 
 from __future__ import annotations
@@ -25,8 +28,9 @@ import io
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from datetime import datetime, timezone
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +39,7 @@ from pyspark.sql.types import StructType
 
 from lectern.llm._common import kept, new_path
 
-LEAST, RECORDS, KEY = 1000, 1000, "X-Page-Id"
+LEAST, RECORDS, SIZE, KEY = 1000, 10_000, 64 << 20, "X-Page-Id"
 
 # The record definitions of the two versions.
 FIELDS = {
@@ -46,7 +50,27 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def _plain(url: str | None) -> str:
-    return re.sub(r"\s", lambda m: f"%{ord(m[0]):02X}", url) if url else "urn:missing"
+    return re.sub(r"\s", lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), url) if url else "urn:missing"
+
+
+def member(data: bytes) -> bytes:
+    """data as a gzip member."""
+    z = zlib.compressobj(wbits=31)
+    return z.compress(data) + z.flush()
+
+
+def packed(members: Iterable[bytes], size: int, records: int) -> Iterator[bytes]:
+    """Members put together to files: of `size` bytes and `records` members at most, or of a single larger member."""
+    some: list[bytes] = []
+    total = 0
+    for m in members:
+        if some and (total + len(m) > size or len(some) == records):
+            yield b"".join(some)
+            some, total = [], 0
+        some.append(m)
+        total += len(m)
+    if some:
+        yield b"".join(some)
 
 
 def version_block(version: int, name: str, date: str) -> str:
@@ -112,7 +136,7 @@ def labelled(sha1: bytes) -> str:
     return "sha1:" + base64.b32encode(sha1).decode()
 
 
-def warc_record(arc: dict, first: dict | None) -> str:
+def warc_record(arc: dict, first: dict | None) -> bytes:
     """One WARC record; first: the response that a revisit points to."""
     head, http, payload = split_http(arc["block"])
     sha1, date, key = hashlib.sha1(payload), iso_date(arc["Archive-date"]), http.get(KEY)
@@ -135,7 +159,7 @@ def warc_record(arc: dict, first: dict | None) -> str:
             "WARC-Refers-To-Key": str(first["key"]),
         }
     fields |= {"Content-Type": "application/http; msgtype=response", "Content-Length": str(len(block))}
-    return "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()) + "\r\n" + block.decode()
+    return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()) + "\r\n").encode() + block + b"\r\n\r\n"
 
 
 def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -154,8 +178,14 @@ def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, block
 
 
-def _write(lines: DataFrame, path: str, end: str, records: int) -> None:
-    lines.write.option("lineSep", end).option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
+def _write(files: DataFrame, path: str) -> None:
+    """Each value as a file. The text writer copies its bytes as they are, and ends it by an empty member."""
+    lines = files.select(F.col("value").cast("string"))
+    lines.write.option("encoding", "ISO-8859-1").option("lineSep", member(b"").decode("latin-1")).option("maxRecordsPerFile", 1).text(path)
+
+
+def _batch(value: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([value], pa.binary())], ["value"])
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -163,33 +193,31 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").schema(schema).load(path).select("path", "content")
 
 
-def write_arc(pages: DataFrame, path: str, records: int = RECORDS) -> None:
+def write_arc(pages: DataFrame, path: str, records: int = RECORDS, size: int = SIZE) -> None:
     """pages(page_id, url, html) as ARC files, of version 1 and 2 in turn by task, each with its version block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task, n = TaskContext.get().partitionId(), 0
+        task = TaskContext.get().partitionId()
         version = 1 + task % 2
-        for b in batches:
-            lines = []
-            for key, url, html in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                date = datetime.fromtimestamp(1577836800 + zlib.crc32((url or "").encode()) % 31536000, timezone.utc).strftime("%Y%m%d%H%M%S")
-                name = f"task{task}-{n // records}.arc"
-                if n % records == 0:
-                    lines.append(version_block(version, name, date))
-                body = html or ""
-                known = "" if key is None else f"{KEY}: {key}\r\n"
-                http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{known}Content-Length: {len(body.encode())}\r\n\r\n"
-                lines.append(arc_record(version, name, url, date, http + body))
-                n += 1
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
-
-    # a file has a version block and `records` records: the writer opens the next one just where the next block comes
-    _write(pages.select("page_id", "url", "html").mapInArrow(run, "value string"), path, "\n", records + 1)
-
-
-def arc_to_warc(spark: SparkSession, arc: str, warc: str, least: int = LEAST, records: int = RECORDS) -> None:
+
+        def members() -> Iterator[bytes]:
+            for b in batches:
+                for key, url, html in zip(*(b.column(i) for i in range(3)), strict=True):
+                    key, url, body = key.as_py(), url.as_py(), html.as_py() or ""
+                    date = datetime.fromtimestamp(1577836800 + zlib.crc32((url or "").encode()) % 31536000, timezone.utc).strftime("%Y%m%d%H%M%S")
+                    known = "" if key is None else f"{KEY}: {quote(str(key))}\r\n"
+                    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{known}Content-Length: {len(body.encode())}\r\n\r\n"
+                    yield member((arc_record(version, f"task{task}.arc", url, date, http + body) + "\n").encode())
+
+        for n, file in enumerate(packed(members(), size, records)):
+            yield _batch(member((version_block(version, f"task{task}-{n}.arc", "20200101000000") + "\n").encode()) + file)
+
+    _write(pages.select("page_id", "url", "html").mapInArrow(run, "value binary"), path)
+
+
+def arc_to_warc(spark: SparkSession, arc: str, warc: str, least: int = LEAST, records: int = RECORDS, size: int = SIZE) -> None:
     """Convert all ARC files under arc."""
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,15 +226,14 @@ def arc_to_warc(spark: SparkSession, arc: str, warc: str, least: int = LEAST, re
                 rows = []
                 for r in parse_arc(content.as_py()):
                     _, http, payload = split_http(r["block"])
-                    key = http.get(KEY)
-                    rows.append((path, r["ordinal"], None if key is None else int(key), r["URL"], iso_date(r["Archive-date"]), hashlib.sha1(payload).hexdigest(), len(payload)))
+                    rows.append((path, r["ordinal"], http.get(KEY), r["URL"], iso_date(r["Archive-date"]), hashlib.sha1(payload).hexdigest(), len(payload)))
                 if rows:
-                    kinds = (pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64())
+                    kinds = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["path", "ordinal", "key", "url", "date", "digest", "bytes"])
 
     files = _files(spark, arc)
-    seen = kept(files.mapInArrow(digests, "path string, ordinal int, key long, url string, date string, digest string, bytes long").filter(F.col("bytes") >= least), "digests")
-    firsts = seen.groupBy("digest").agg(F.max(F.struct("key", "url", "date")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
+    seen = kept(files.mapInArrow(digests, "path string, ordinal int, key string, url string, date string, digest string, bytes long").filter(F.col("bytes") >= least), "digests")
+    firsts = seen.groupBy("digest").agg(F.max(F.struct(F.col("key").try_cast("long").alias("number"), "key", "url", "date")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
     revisits = seen.join(firsts, "digest").filter(F.col("first.key").isNotNull() & ~F.col("key").eqNullSafe(F.col("first.key")))
     by_file = revisits.groupBy("path").agg(F.collect_list(F.struct("ordinal", "first")).alias("revisits"))  # `records` a file at most
 
@@ -214,19 +241,17 @@ def arc_to_warc(spark: SparkSession, arc: str, warc: str, least: int = LEAST, re
         for b in batches:
             for content, revisit in zip(b.column(0), b.column(1), strict=True):
                 first = {x["ordinal"]: x["first"] for x in revisit.as_py() or ()}
-                lines: list[str] = []
-                for r in parse_arc(content.as_py()):
-                    lines.append(warc_record(r, first.get(r["ordinal"])))
-                    if len(lines) == 200:
-                        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
-                        lines = []
-                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+                members = (member(warc_record(r, first.get(r["ordinal"]))) for r in parse_arc(content.as_py()))
+                for file in packed(members, size, records):
+                    yield _batch(file)
 
-    _write(files.join(by_file, "path", "left").select("content", "revisits").mapInArrow(convert, "value string"), warc, "\r\n\r\n", records)
+    _write(files.join(by_file, "path", "left").select("content", "revisits").mapInArrow(convert, "value binary"), warc)
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """A row per record of the WARC files under path; a response's payload is checked against its digest."""
+def read_warc(spark: SparkSession, path: str, key_type: str = "long") -> DataFrame:
+    """A row per record of the WARC files under path, with keys as long or string; a response's payload is checked against its digest."""
+    number = key_type == "long"
+    as_key = lambda k: None if k is None else int(k) if number else unquote(k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -238,12 +263,13 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     if h["WARC-Type"] == "response" and hashlib.sha1(payload).digest() != digest:
                         raise ValueError(f"{h['WARC-Record-ID']}: the payload does not have its digest")
                     key, to = http.get(KEY), h.get("WARC-Refers-To-Key")
-                    rows.append((None if key is None else int(key), int(http["Content-Length"]), digest.hex(), h["WARC-Type"], None if to is None else int(to), h["WARC-Record-ID"], h["WARC-Date"], h["WARC-Target-URI"]))
+                    rows.append((as_key(key), int(http["Content-Length"]), digest.hex(), h["WARC-Type"], as_key(to), h["WARC-Record-ID"], h["WARC-Date"], h["WARC-Target-URI"]))
                 if rows:
-                    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string())
+                    of_key = pa.int64() if number else pa.string()
+                    kinds = (of_key, pa.int64(), pa.string(), pa.string(), of_key, pa.string(), pa.string(), pa.string())
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, warc_date string, target_uri string"
+    schema = f"page_id {key_type}, payload_bytes long, payload_digest string, record_type string, refers_to {key_type}, record_id string, warc_date string, target_uri string"
     names = [x.split()[0] for x in schema.split(", ")]
     return _files(spark, path).select("content").mapInArrow(run, schema)
 

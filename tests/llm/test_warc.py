@@ -1,4 +1,7 @@
+import base64
 import hashlib
+import os
+import zlib
 
 import pytest
 
@@ -37,3 +40,39 @@ def test_empty(spark, tmp_path):
     warc.write_arc(pages, f"{tmp_path}/arc")
     warc.arc_to_warc(spark, f"{tmp_path}/arc", f"{tmp_path}/warc")
     assert warc.read_warc(spark, f"{tmp_path}/warc").count() == 0
+
+
+def members(data):
+    while data:
+        z = zlib.decompressobj(wbits=31)
+        yield z.decompress(data)
+        data = z.unused_data
+
+
+def test_files_by_bytes(spark, tmp_path):
+    """Payloads of 20 MB that do not compress: a file each, and every record a member that can be read alone."""
+    large = [base64.b64encode(os.urandom(15 << 20)).decode() for _ in range(3)]
+    rows = [(i, "http://a", large[i % 3]) for i in range(4)] + [(10 + i, "http://b", f"{i} " * 600) for i in range(50)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    warc.write_arc(pages, f"{tmp_path}/arc", size=1 << 20)
+    warc.arc_to_warc(spark, f"{tmp_path}/arc", f"{tmp_path}/warc", size=1 << 20)
+    got = {r.page_id: r for r in warc.read_warc(spark, f"{tmp_path}/warc").collect()}
+    assert len(got) == 54 and {k: r.refers_to for k, r in got.items() if r.record_type == "revisit"} == {0: 3}
+    assert all(r.payload_digest == hashlib.sha1(html.encode()).hexdigest() for k, _, html in rows for r in [got[k]])
+    files = [f.read_bytes() for f in tmp_path.glob("warc/part-*")]
+    # the three large payloads; the fourth is a revisit and has none
+    assert sum(len(f) > 1 << 20 for f in files) == 3
+    for f in files:
+        found = [m for m in members(f) if m]
+        assert all(m.startswith(b"WARC/1.1\r\n") and m.endswith(b"\r\n\r\n") and len(list(warc.parse_warc(m))) == 1 for m in found)
+        assert len(f) <= (1 << 20) + 20 or len(found) == 1
+
+
+def test_string_keys(spark, tmp_path):
+    same = "x" * 1500
+    pages = spark.createDataFrame([("9", "u\u00a0v", same), ("10", "u", same), ("a: \r\nb", "u", same + "y"), (None, "u", same)], "page_id string, url string, html string")
+    warc.write_arc(pages, f"{tmp_path}/arc")
+    warc.arc_to_warc(spark, f"{tmp_path}/arc", f"{tmp_path}/warc")
+    got = {r.page_id: r for r in warc.read_warc(spark, f"{tmp_path}/warc", "string").collect()}
+    assert {k: r.refers_to for k, r in got.items()} == {"9": "10", "10": None, "a: \r\nb": None, None: "10"}
+    assert got["9"].target_uri == "u%C2%A0v"
