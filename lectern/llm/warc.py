@@ -40,6 +40,7 @@ from pyspark.sql.types import StructType
 from lectern.llm._common import kept, new_path
 
 LEAST, RECORDS, SIZE, KEY = 1000, 10_000, 64 << 20, "X-Page-Id"
+LEVEL = 4  # of compression: two thirds of the time of level 6, and 1.4 % more bytes
 
 # The record definitions of the two versions.
 FIELDS = {
@@ -55,7 +56,7 @@ def _plain(url: str | None) -> str:
 
 def member(data: bytes) -> bytes:
     """data as a gzip member."""
-    z = zlib.compressobj(wbits=31)
+    z = zlib.compressobj(LEVEL, wbits=31)
     return z.compress(data) + z.flush()
 
 
