@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.plans import audit, boxes, closures, compare, flow, groups, items, marking, mentions, ordered, pages, reconcile, running, schemes, textual
+from lectern.plans import audit, boxes, closures, compare, flow, groups, headings, items, marking, mentions, ordered, pages, reconcile, running, schemes, textual
 
-MODULES = (reconcile, groups, ordered, textual, audit, pages, marking, schemes, closures, items, running, boxes, compare, flow, mentions)
+MODULES = (reconcile, groups, ordered, textual, audit, pages, marking, schemes, closures, items, running, boxes, compare, flow, mentions, headings)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
