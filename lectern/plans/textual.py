@@ -103,18 +103,22 @@ def label_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fuzzy_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers of one nation whose keys differ by one digit changed, put in or left out.
 
-    Keys are joined on what is left when a digit is taken out, so that no two keys meet that are not near.
+    Keys meet in one group for what is left when a digit is taken out, so that no two meet that are not near:
+    with the digit's place those of one length, ten at most, and without it the key that is this and those one digit longer.
     """
     c = table(spark, sf_dir, "customer").select("c_nationkey", F.col("c_custkey").alias("k"), F.col("c_custkey").cast("string").alias("s"))
-    cut = F.transform(F.sequence(F.lit(1), F.length("s")), lambda i: F.concat(F.lit("-"), i, F.lit(":"), F.concat(F.substr(F.col("s"), F.lit(1), i - 1), F.substr(F.col("s"), i + 1))))
-    drop = F.transform(F.sequence(F.lit(1), F.length("s")), lambda i: F.concat(F.substr(F.col("s"), F.lit(1), i - 1), F.substr(F.col("s"), i + 1)))
-    changed = c.select("c_nationkey", "k", "s", F.explode(cut).alias("form"))
-    a = changed.select("c_nationkey", F.col("k").alias("a"), F.col("s").alias("sa"), "form")
-    b = changed.select("c_nationkey", F.col("k").alias("b"), F.col("s").alias("sb"), "form")
-    same = a.join(b, ["c_nationkey", "form"]).filter("a < b AND length(sa) = length(sb)").select("a", "b")
-    shorter = c.select("c_nationkey", F.col("k").alias("a"), F.col("s").alias("form"))
-    longer = c.select("c_nationkey", F.col("k").alias("b"), F.explode(drop).alias("form"))
-    return same.unionByName(shorter.join(longer, ["c_nationkey", "form"]).select("a", "b")).distinct()
+    less = lambda i: F.concat(F.substr(F.col("s"), F.lit(1), i - 1), F.substr(F.col("s"), i + 1))
+    cut = F.transform(F.sequence(F.lit(1), F.length("s")), lambda i: F.struct(F.concat(F.lit("-"), i, F.lit(":"), less(i)).alias("form"), F.lit(False).alias("whole")))
+    drop = F.transform(F.sequence(F.lit(1), F.length("s")), lambda i: F.struct(less(i).alias("form"), F.lit(False).alias("whole")))
+    own = F.array(F.struct(F.col("s").alias("form"), F.lit(True).alias("whole")))
+    forms = c.select("c_nationkey", "k", F.explode(F.concat(cut, drop, own)).alias("f")).select("c_nationkey", "k", "f.*").filter("c_nationkey IS NOT NULL")
+    met = forms.groupBy("c_nationkey", "form").agg(F.collect_set(F.when(F.col("whole"), F.col("k"))).alias("one"), F.array_sort(F.collect_set(F.when(~F.col("whole"), F.col("k")))).alias("more"))
+    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    after = lambda a, i: F.slice("more", i + 2, F.greatest(F.size("more") - i - 1, F.lit(0)))
+    same = F.flatten(F.transform("more", lambda a, i: F.transform(after(a, i), lambda b: pair(a, b))))
+    longer = F.flatten(F.transform("one", lambda a: F.transform("more", lambda b: pair(a, b))))
+    placed = F.col("form").contains(":")
+    return met.filter(F.size("more") > 0).select(F.explode(F.when(placed, same).otherwise(longer)).alias("p")).select("p.*").distinct()
 
 
 def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,10 @@
-"""Tables between steps are compressed columns."""
+"""Tables between steps are compressed columns, and no join is sent whole through the driver."""
 
 import os
 
 from pyspark.sql import functions as F
 
+from lectern.plans import textual
 from lectern.session import checkpointed
 
 
@@ -15,3 +16,19 @@ def test_checkpointed_is_compressed_columns(spark):
     assert sum(map(os.path.getsize, files)) < 200_000 * 42 // 4
     assert df.select(F.sum("id"), F.count("text"), F.max("k")).first() == (200_000 * 199_999 // 2, 200_000, 6)
     assert checkpointed(df.limit(0)).isEmpty()
+
+
+def test_fuzzy_number_sends_no_table_to_all_tasks(spark, tmp_path):
+    keys = [*range(1, 130), 1230, 1231, 2231]
+    spark.createDataFrame([(k, k % 2) for k in keys], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    found = textual.fuzzy_number(spark, str(tmp_path))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+        return len(a) + 1 == len(b) and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    want = {(a, b) for a in keys for b in keys if a < b and a % 2 == b % 2 and near(str(a), str(b))}
+    rows = [tuple(r) for r in found.collect()]
+    assert len(rows) == len(want) and set(rows) == want
