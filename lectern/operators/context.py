@@ -88,43 +88,63 @@ def context(units: DataFrame, parts: DataFrame, edges: DataFrame) -> DataFrame:
     read = read.groupBy("task", "doc", "text").agg(F.min(F.struct("place", "sub")).alias("p")).select("task", "doc", "text", "p.place", "p.sub")
     found: list[DataFrame] = []
     missing: list[DataFrame] = []
+    state = tasks.withColumn("shown", F.array().cast("array<string>"))
     for depth in count(1):
-        x = read.join(edges, ["doc", "text"]).join(tasks.drop("doc"), "task")
-        rank = F.row_number().over(Window.partitionBy("task").orderBy("place", "sub", "text", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")), "n", "name"))
-        x = x.withColumns({"order": rank, "dst": F.when(F.col("kind") == "own", F.col("before")).otherwise(F.col("dst"))})
-        none = x.filter("kind = 'exhibit' AND dst IS NULL").select("task", F.col("name").alias("site"), "order")
-        shown = within(F.col("dst"), F.col("units"))
-        # an introduction that is above a unit is shown, and a text's own letter; what comes later than the first unit is no help, but an exhibit is
-        shown |= F.col("kind").isin("part", "label", "exhibit") & F.array_contains("intros", F.col("dst"))
-        shown |= (F.col("kind") == "part") & F.array_contains("letters", F.col("dst"))
-        later = F.col("kind").isin("part", "label") & (F.col("dst_ord") > F.col("first"))
-        x = x.filter("dst IS NOT NULL AND (kind = 'own' OR dst_ord IS NOT NULL)").filter(~shown & ~later)
-        site = F.when((F.col("kind") == "exhibit") & F.col("alone"), F.col("name")).when((F.col("kind") == "label") & F.col("romans"), F.concat("dst", F.lit(INTRO))).otherwise(F.col("dst"))
-        above = F.concat("dst", F.lit(INTRO))
-        seen_at = F.when(F.col("kind") == "label", F.concat(holders(F.col("dst")), F.array(above))).otherwise(holders(F.col("dst")))
-        seen_at = F.when((F.col("kind") == "exhibit") & F.col("alone"), F.concat(seen_at, F.array("name"))).otherwise(seen_at)
-        x = checkpointed(x.select("task", "doc", "order", "kind", site.alias("site"), seen_at.alias("seen_at"), F.when(F.col("kind") == "exhibit", above).alias("above")))
-        missing.append(checkpointed(none))
-
-        def seen(x: DataFrame, keys: DataFrame) -> DataFrame:
-            """Those of keys(task, order, key) that are shown already, or offered earlier in the round by one of x."""
-            offers = x.groupBy("task", F.col("site").alias("key")).agg(F.min("order").alias("at"))
-            for old in found:
-                offers = offers.unionByName(old.select("task", F.col("site").alias("key"), F.lit(0).alias("at")))
-            return keys.join(offers, ["task", "key"]).filter("at < order").select("task", "order").distinct()
-
-        # an exhibit in an introduction that is shown goes first, as its letter is not shown by that
-        x = x.join(seen(x, x.filter("above IS NOT NULL").select("task", "order", F.col("above").alias("key"))), ["task", "order"], "left_anti")
-        covered = seen(x, x.select("task", "order", F.explode("seen_at").alias("key")))
-        new = x.join(covered, ["task", "order"], "left_anti").select("task", "doc", "order", "kind", "site")
-        new = checkpointed(new.withColumn("depth", F.lit(depth).cast("long")))
-        if new.isEmpty():
+        place = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).alias("rank")
+        ref = F.struct("place", "sub", "text", place, "n", "name", "kind", "dst", "alone", "dst_ord", "romans")
+        x = read.join(edges, ["doc", "text"]).groupBy("task").agg(F.array_sort(F.collect_list(ref)).alias("refs")).join(state, "task")
+        new = checkpointed(_round(x).select(*state.columns, "new", "none"))
+        missing.append(new.select("task", F.inline("none")))
+        # a task that adds nothing has come to rest
+        active = new.filter(F.size("new") > 0)
+        if active.isEmpty():
             break
-        found.append(new)
+        new = active.select("task", "doc", F.inline("new"))
+        found.append(new.withColumn("depth", F.lit(depth).cast("long")))
         read = new.join(texts, ["doc", "site"]).select("task", "doc", "text", F.col("order").alias("place"), "sub")
+        state = active.withColumn("shown", F.concat("shown", F.transform("new", lambda r: r["site"]))).select(*state.columns)
     return _settled(found, missing, tasks, parts)
 
 
+def _round(x: DataFrame) -> DataFrame:
+    """x with new(order, kind, site), the references that are followed, and none(site, order), the exhibits that there are not.
+
+    x has a row per task: refs, what the texts of the round refer to in the order of the queue, and shown, the sites of earlier rounds.
+    """
+
+    def numbered(r: Column, i: Column) -> Column:
+        dst = F.when(r["kind"] == "own", F.col("before")).otherwise(r["dst"])
+        return F.struct((i + 1).alias("order"), dst.alias("dst"), *(r[c].alias(c) for c in ("kind", "name", "alone", "dst_ord", "romans")))
+
+    def open_(r: Column) -> Column:
+        shown = within(r["dst"], F.col("units"))
+        # an introduction that is above a unit is shown, and a text's own letter; what comes later than the first unit is no help, but an exhibit is
+        shown |= r["kind"].isin("part", "label", "exhibit") & F.array_contains("intros", r["dst"])
+        shown |= (r["kind"] == "part") & F.array_contains("letters", r["dst"])
+        later = r["kind"].isin("part", "label") & (r["dst_ord"] > F.col("first"))
+        return r["dst"].isNotNull() & ((r["kind"] == "own") | r["dst_ord"].isNotNull()) & ~shown & ~later
+
+    def offer(r: Column) -> Column:
+        exhibit, label, above = r["kind"] == "exhibit", r["kind"] == "label", F.concat(r["dst"], F.lit(INTRO))
+        site = F.when(exhibit & r["alone"], r["name"]).when(label & r["romans"], above).otherwise(r["dst"])
+        seen_at = F.when(label, F.concat(holders(r["dst"]), F.array(above))).when(exhibit & r["alone"], F.concat(holders(r["dst"]), F.array(r["name"]))).otherwise(holders(r["dst"]))
+        return F.struct(r["order"].alias("order"), r["kind"].alias("kind"), site.alias("site"), seen_at.alias("seen_at"), F.when(exhibit, above).alias("above"))
+
+    def seen(key: Column, i: Column) -> Column:
+        """Whether a key is shown already, or offered in the round by one before the i-th."""
+        at = F.array_position("sites", key)
+        return F.array_contains("shown", key) | ((at > 0) & (at <= i))
+
+    sites = F.transform("offers", lambda r: r["site"])
+    x = x.withColumn("refs", F.transform("refs", numbered))
+    x = x.withColumn("none", F.transform(F.filter("refs", lambda r: (r["kind"] == "exhibit") & r["dst"].isNull()), lambda r: F.struct(r["name"].alias("site"), r["order"].alias("order"))))
+    x = x.withColumn("offers", F.transform(F.filter("refs", open_), offer)).withColumn("sites", sites)
+    # an exhibit in an introduction that is shown goes first, as its letter is not shown by that
+    x = x.withColumn("offers", F.filter("offers", lambda r, i: r["above"].isNull() | ~seen(r["above"], i))).withColumn("sites", sites)
+    new = F.filter("offers", lambda r, i: ~F.exists(r["seen_at"], lambda key: seen(key, i)))
+    return x.withColumn("new", F.transform(new, lambda r: F.struct(r["order"].alias("order"), r["kind"].alias("kind"), r["site"].alias("site"))))
+
+
 def _settled(found: list[DataFrame], missing: list[DataFrame], tasks: DataFrame, parts: DataFrame) -> DataFrame:
     """Rounds put together: introductions of romans added, tasks that lack an exhibit reduced to that."""
     none = missing[0].withColumn("depth", F.lit(1).cast("long"))

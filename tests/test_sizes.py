@@ -32,3 +32,17 @@ def test_fuzzy_number_sends_no_table_to_all_tasks(spark, tmp_path):
     want = {(a, b) for a in keys for b in keys if a < b and a % 2 == b % 2 and near(str(a), str(b))}
     rows = [tuple(r) for r in found.collect()]
     assert len(rows) == len(want) and set(rows) == want
+
+
+def test_context_keeps_one_table_a_round(spark, monkeypatch):
+    from lectern.operators import context
+
+    kept = []
+    monkeypatch.setattr(context, "checkpointed", lambda df: kept.append(1) or checkpointed(df))
+    parts = spark.createDataFrame([(1, x, 2 * i + 1, False) for i, x in enumerate("abcd")], "doc long, label string, ord int, intro boolean")
+    edges = spark.createDataFrame([(1, a, "part", 0, b, b, False) for a, b in ("dc", "cb", "ba")], "doc long, src string, kind string, n int, name string, dst string, alone boolean")
+    units = spark.createDataFrame([("1/d", 1, "d")], "task string, doc long, label string")
+    found = {(r.site, r.depth, r.dep) for r in context.context(units, parts, edges).collect()}
+    assert found == {("c", 1, True), ("b", 2, True), ("a", 3, True)}
+    # edges, tasks, four rounds of which the last adds nothing, and the rounds put together
+    assert len(kept) <= 7
