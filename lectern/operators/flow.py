@@ -125,14 +125,14 @@ def audited(placed: DataFrame, unit: str, item: str, room: float, head: float) -
     """
     w, on_page = Window.partitionBy(unit).orderBy("ord"), Window.partitionBy(unit, "page").orderBy("top", "ord")
     height = F.col("bottom") - F.col("top")
-    x = placed
-    for run, holds in (("firm", F.col("_link").isin(*FIRM, "mark")), ("any", F.col("_link").isNotNull())):
-        x = x.withColumn("_link", F.lag("link").over(w)).withColumn(f"_{run}", F.sum(F.when(F.coalesce(holds, F.lit(False)), 0).otherwise(1)).over(w))
-        part = Window.partitionBy(unit, f"_{run}")
-        inner = F.when(F.coalesce(holds, F.lit(False)), F.col("gap")).otherwise(0.0)
-        x = x.withColumn(f"_{run}_height", F.sum(height + inner).over(part))
-    near = ("page", item, "bottom", "_any_height")
-    x = x.withColumns({"_next": F.lead(F.struct(*near)).over(w), "_before": F.lag(F.struct(*near)).over(w), "_below": F.lead("top").over(on_page)})
+    holds = {"firm": F.coalesce(F.col("_link").isin(*FIRM, "mark"), F.lit(False)), "any": F.col("_link").isNotNull()}
+    x = placed.withColumn("_link", F.lag("link").over(w)).withColumns({f"_{run}": F.sum(F.when(held, 0).otherwise(1)).over(w) for run, held in holds.items()})
+    # runs lie in the order of bands and the firm ones within the others, so that this is the same order and one sort serves all of these windows
+    runs = Window.partitionBy(unit).orderBy("_any", "_firm", "ord")
+    x = x.withColumn("_before", F.lag(F.struct("page", "bottom")).over(runs))
+    for run, part in (("any", ("_any",)), ("firm", ("_any", "_firm"))):
+        x = x.withColumn(f"_{run}_height", F.sum(height + F.when(holds[run], F.col("gap")).otherwise(0.0)).over(Window.partitionBy(unit, *part)))
+    x = x.withColumn("_next", F.lead(F.struct("page", item, "_any_height")).over(runs)).withColumn("_below", F.lead("top").over(on_page))
     free = F.lit(room) - F.max("bottom").over(Window.partitionBy(unit, "page"))
     x = x.withColumn("_free", free)
     cut = (F.col("_next.page") > F.col("page")) & (F.col("_firm_height") <= room - head)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.operators import flow as P
 from lectern.plans.boxes import LINE
-from lectern.session import table
+from lectern.session import checkpointed, table
 
 ROOM, HEAD, BETWEEN = 720.0, 24.0, 10.0
 
@@ -51,7 +51,8 @@ def stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layout_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the audit finds on pages filled with no regard for links."""
-    return P.audited(stacked(spark, sf_dir), "unit", "item", ROOM, HEAD)
+    # kept, so that the sorts of the pages and those of the audit are not held by one task
+    return P.audited(checkpointed(stacked(spark, sf_dir)), "unit", "item", ROOM, HEAD)
 
 
 QUERIES = {f.__name__: f for f in (linked_bands, linked_page_flow, layout_findings)}

@@ -46,3 +46,14 @@ def test_context_keeps_one_table_a_round(spark, monkeypatch):
     assert found == {("c", 1, True), ("b", 2, True), ("a", 3, True)}
     # edges, tasks, four rounds of which the last adds nothing, and the rounds put together
     assert len(kept) <= 7
+
+
+def test_audit_sorts_its_bands_three_times(spark):
+    from lectern.operators import flow
+
+    kinds = "unit long, item long, ord int, gap double, link string, page int, head_page int, head_top double, top double, bottom double, scale double"
+    placed = spark.createDataFrame([(1, 1, 1, 0.0, "figure", 1, 1, 0.0, 80.0, 130.0, 1.0), (1, 1, 2, 4.0, None, 2, None, None, 0.0, 50.0, 1.0)], kinds)
+    found = flow.audited(placed, "unit", "item", 150.0, 20.0)
+    # every sort of a task holds its rows at the same time
+    assert found._jdf.queryExecution().executedPlan().toString().count("Sort [") == 3
+    assert [(r.ord, r.finding, r.size) for r in found.collect()] == [(1, "split figure", 104.0)]
