@@ -16,7 +16,9 @@ neighbours. First it is compared with what the tree gives and with the two neigh
 with, then with other neighbours that are still apart. Then, in rounds, sets still apart meet a few others of other
 groups under each shingle, in another order each time: sets of a large group that are alike to a fifth of it join
 it within a few rounds, for a few comparisons each. When few pairs that meet are alike, all sets still apart that
-share a shingle are compared, so that no link is lost. All leave out pairs for which the sizes and the places of the shared shingle, or the
+share a shingle are compared, so that no link is lost. Before the rounds, where a shingle has CROWD sets that are apart
+or more, these stand no longer under it but under the shingles in which they differ from what most of them are: two that
+share none of those differ too much, or are both so near the middle that they are alike for certain. All leave out pairs for which the sizes and the places of the shared shingle, or the
 sketches of the sets, rule 0.8 out: a sketch has the parity of the number of shingles at each of 512
 bits, so it differs in no more bits than the sets differ in shingles.
 
@@ -49,6 +51,9 @@ OFTEN, COUNTED = 8, 2_000_000
 NEAREST = 2
 #: Then sets still apart meet so many others under each shingle in up to so many rounds, until at most one pair in RARE is alike.
 PARTNERS, TURNS, RARE = 4, 6, 16
+#: Under a shingle with so many sets still apart these are told by their differences from a middle, the shingles that most of
+#: MIDDLE of them have. A middle is dealt to SALTS places.
+CROWD, MIDDLE, SALTS = 64, 15, 16
 #: A task gives the prefix of a set once, as long as it remembers it among so many.
 SEEN = 100_000
 #: 64-bit words of a sketch.
@@ -185,13 +190,19 @@ def marked(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], n: int, simila
     return kept(docs.select("doc_id", text_key().alias("key"), "text").mapInArrow(run, T.StructType([docs.schema["doc_id"], *added])), "marks")
 
 
+def near_enough(x: str, y: str, sizes: Column, similar: tuple[int, int]) -> Column:
+    """Whether sets of these sketches, whose sizes add up to sizes, can be alike."""
+    p, q = similar
+    differ = F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, d: s + d)
+    return (p + q) * differ <= (q - p) * sizes
+
+
 def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, similar: tuple[int, int]) -> DataFrame:
     """Those of pairs(a, b) whose sets are alike; sets: id, size, sketch and key, the hash of a text that has this set."""
     p, q = similar
-    differ = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     of = lambda end, c, size: sets.select(F.col("id").alias(end), F.col("sketch").alias(c), F.col("size").alias(size))
     pairs = pairs.join(of("a", "x", "m"), "a").join(of("b", "y", "n"), "b")
-    pairs = kept(pairs.filter((p + q) * differ <= (q - p) * (F.col("m") + F.col("n"))).select("a", "b"), "pairs")
+    pairs = kept(pairs.filter(near_enough("x", "y", F.col("m") + F.col("n"), similar)).select("a", "b"), "pairs")
     involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     involved = kept(sets.select("id", "key").join(involved, "id", "left_semi").select("key"), "involved")
     if not involved.limit(1).count():
@@ -264,6 +275,64 @@ def rooted(roots: DataFrame, edges: DataFrame) -> DataFrame:
     return kept(old.unionByName(new), "roots")
 
 
+def differences(rows: DataFrame, sets: DataFrame, docs: DataFrame, n: int, similar: tuple[int, int]) -> tuple[DataFrame, DataFrame] | None:
+    """rows(shingle, id, left, need) with those of crowded shingles dealt anew, and pairs(a, b) that are alike for certain; None without such shingles.
+
+    Let d(A) be the number of shingles in which A differs from the middle M of its crowd, and t(A) = |A| (q - p) / (p + q): A and B
+    are alike if and only if they differ in at most t(A) + t(B) shingles. If d(A) + d(B) is no more, they do, and so does each of
+    them from the set of least d - t. Else their differences from M share at least (d(A) + d(B) - t(A) - t(B)) / 2 shingles, and
+    d(A) - |A| (q - p) / p, as alike sets differ in no more than the latter; so they share one of the first d(A) - that + 1.
+    A set alike for certain to that of least d - t looks only for sets that are not, and these have a d - t above the least one's negative.
+    """
+    p, q = similar
+    crowds = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("crowd"))
+    crowds = kept(crowds.filter(F.col("n") >= CROWD), "crowds")
+    if not crowds.limit(1).count():
+        return None
+    of = kept(joined(rows.select("shingle", "id"), crowds, "shingle").select("id", "crowd").distinct(), "members")
+    involved = kept(sets.select("id", "key").join(of.select("id").distinct(), "id", "left_semi").select("key"), "involved")
+    read = kept(whole(docs, involved, n), "members")
+
+    def middles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for some in b.column(1).to_pylist():
+                s, k = np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in some]), return_counts=True)
+                found.append(s[2 * k > len(some)].tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], ["crowd", "middle"])
+
+    some = of.withColumn("r", F.row_number().over(Window.partitionBy("crowd").orderBy(F.xxhash64("id"), "id"))).filter(F.col("r") <= MIDDLE)
+    some = some.join(read, "id").groupBy("crowd").agg(F.collect_list("shingles").alias("some"))
+    middle = kept(some.mapInArrow(middles, "crowd long, middle binary"), "middles")
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["id", "crowd", "differ", "need", "shingles"]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
+        for b in batches:
+            out = []
+            for i, c, x, m in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                x, m = np.frombuffer(x, "<u8"), np.frombuffer(m, "<u8")
+                away = np.concatenate([np.setdiff1d(x, m, assume_unique=True), np.setdiff1d(m, x, assume_unique=True)])
+                first = len(away) - max(1, len(away) - len(x) * (q - p) // p) + 1
+                out.append((i, c, len(away), (p + q) * len(away) - (q - p) * len(x), away[:first].view(np.int64)))
+            columns = zip(*out, strict=True) if out else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt")
+    dealt = middle.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    both = of.select("id", "crowd", salt).join(read, "id").join(dealt, ["crowd", "salt"])
+    told = kept(both.select("id", "crowd", "shingles", "middle").mapInArrow(tell, "id long, crowd long, differ int, need long, shingles array<long>"), "told")
+    nearest = told.groupBy("crowd").agg(F.min(F.struct("need", "id")).alias("near"), F.count(F.lit(1)).alias("n"))
+    told = kept(joined(told, kept(nearest, "nearest"), "crowd"), "told")
+    held = F.col("need") + F.col("near.need") <= 0
+    sure = told.filter(held & (F.col("id") != F.col("near.id"))).select(F.least("id", "near.id").alias("a"), F.greatest("id", "near.id").alias("b")).distinct()
+    least = F.greatest(F.lit(1), F.ceil((F.col("need") - F.col("near.need") + 1) / (2 * (p + q)))).cast("int")
+    first = F.when(held, F.slice("shingles", 1, F.greatest(F.lit(0), F.col("differ") - least + 1))).otherwise(F.col("shingles"))
+    anew = told.select("id", "crowd", "differ", "need", F.posexplode(first).alias("place", "shingle"))
+    anew = anew.select(F.shiftrightunsigned(F.xxhash64("crowd", "shingle"), 24).alias("shingle"), "id", (F.col("differ") - F.col("place")).alias("left"), "need")
+    return rows.join(sent(crowds.select("shingle")), "shingle", "left_anti").unionByName(anew), sure
+
+
 def groups(found: DataFrame, docs: DataFrame, n: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """node (the number of a set) and root, the smallest number of its group, of each set in marks of docs."""
     p, q = similar
@@ -271,21 +340,21 @@ def groups(found: DataFrame, docs: DataFrame, n: int = SHINGLE, similar: tuple[i
     sets = kept(once.select("id", "fingerprint", "size", "sketch", "key").dropDuplicates(["id"]), "sets")
     rows = once.select("id", "size", F.posexplode("prefix").alias("place", "shingle"))
     # 40 bits tell shingles apart well enough here: two that fall together only give more candidates
-    rows = rows.withColumn("shingle", F.shiftrightunsigned("shingle", 24))
+    rows = rows.select(F.shiftrightunsigned("shingle", 24).alias("shingle"), "id", (F.col("size") - F.col("place")).alias("left"), (2 * p * F.col("size").cast("long")).alias("need"))
     by = Window.partitionBy("shingle")
     several = lambda rows, c: rows.withColumn("l", F.min(c).over(by)).withColumn("m", F.max(c).over(by)).filter("l <> m").drop("l", "m")
 
     def possible(a: str, b: str):
         """Whether sets that first share this shingle can be alike."""
-        left = F.least(*(F.col(f"{x}.size") - F.col(f"{x}.place") for x in (a, b)))
-        return (F.col(f"{a}.id") != F.col(f"{b}.id")) & ((p + q) * left >= p * (F.col(f"{a}.size") + F.col(f"{b}.size")))
+        left = F.least(*(F.col(f"{x}.left") for x in (a, b)))
+        return (F.col(f"{a}.id") != F.col(f"{b}.id")) & (2 * (p + q) * left >= F.col(f"{a}.need") + F.col(f"{b}.need"))
 
     def pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
         ids = F.col(f"{a}.id"), F.col(f"{b}.id")
         return rows.filter(possible(a, b)).select(F.least(*ids).alias("a"), F.greatest(*ids).alias("b"))
 
-    rows = several(rows.withColumn("y", F.lag(F.struct("id", "size", "place")).over(by.orderBy("size", "id"))), "id")
-    rows = kept(rows.select("shingle", F.struct("id", "size", "place").alias("x"), "y"), "shared")
+    rows = several(rows.withColumn("y", F.lag(F.struct("id", "left", "need")).over(by.orderBy("need", "id"))), "id")
+    rows = kept(rows.select("shingle", F.struct("id", "left", "need").alias("x"), "y"), "shared")
     before = rows.filter("y IS NOT NULL").filter(possible("x", "y")).groupBy(F.col("x.id").alias("id"), F.col("y.id").alias("near")).agg(F.count(F.lit(1)).alias("n"))
     before = before.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "near")), asc=False).alias("near"))
     before = kept(before.select("id", F.col("near.near").alias("near")), "neighbours")
@@ -301,7 +370,11 @@ def groups(found: DataFrame, docs: DataFrame, n: int = SHINGLE, similar: tuple[i
     roots = rooted(sets.select("id", F.col("id").alias("root")).limit(0), first)
     others = between(roots, neighbours(F.slice("near", NEAREST + 1, F.size("near")))).select("a", "b").distinct()
     roots = rooted(roots, linked(others, sets, docs, n, similar))
-    rows, item = rows.select("shingle", "x.*"), F.struct("id", "size", "place", "root")
+    rows, item = rows.select("shingle", "x.*"), F.struct("id", "left", "need", "root")
+    rows = kept(still_apart(rows, roots), "apart").drop("root")
+    if anew := differences(rows, sets, docs, n, similar):
+        rows, sure = anew
+        roots = rooted(roots, sure)
     for turn in range(TURNS):
         apart = kept(still_apart(rows, roots), "apart")
         order = by.orderBy(F.xxhash64("id", F.lit(turn)), "id")
@@ -313,9 +386,11 @@ def groups(found: DataFrame, docs: DataFrame, n: int = SHINGLE, similar: tuple[i
         rows = apart.drop("root")
         if RARE * found.count() <= met.count():
             break
-    rows = kept(still_apart(rows, roots), "apart")
-    x, y = (rows.select("shingle", F.struct("id", "size", "place", "root").alias(c)) for c in "xy")
-    last = x.join(y, "shingle").filter("x.id < y.id AND x.root <> y.root")
+    # the last ones meet with their sketches, so that only pairs that can be alike leave the join
+    rows = kept(still_apart(rows, roots).join(sets.select("id", "size", "sketch"), "id"), "apart")
+    item = F.struct("id", "left", "need", "root", "size", "sketch")
+    x, y = (rows.select("shingle", item.alias(c)) for c in "xy")
+    last = x.join(y, "shingle").filter("x.id < y.id AND x.root <> y.root").filter(near_enough("x.sketch", "y.sketch", F.col("x.size") + F.col("y.size"), similar))
     roots = rooted(roots, linked(pairs(last, "x", "y").distinct(), sets, docs, n, similar))
     return sets.select("id").join(roots, "id", "left").select(F.col("id").alias("node"), F.coalesce("root", "id").alias("root"))
 

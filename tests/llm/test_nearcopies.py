@@ -56,3 +56,22 @@ def test_groups_around_the_limit(spark):
         assert n.deduplicated(docs.limit(0)).count() == 0
     finally:
         n.COMMON = old
+
+
+def test_pairs_of_a_large_group_stay_few(spark, monkeypatch):
+    """Copies of one text, changed at one to five places, and texts that only share a passage: right groups, and few of all pairs leave a join."""
+    r = random.Random(11)
+    base, line = [f"b{i}" for i in range(120)], " ".join(f"c{i}" for i in range(12))
+    rows = []
+    for i in range(360):
+        w = list(base)
+        for _ in range(r.randint(2, 5)):
+            w[r.randrange(len(w))] = f"x{r.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    rows += [(400 + i, f"{' '.join(f'y{r.randrange(10**6)}' for _ in range(20))} {line}") for i in range(120)]
+    rows += [(600, " ".join(base)), (601, line)]
+    met, linked = [], n.linked
+    monkeypatch.setattr(n, "linked", lambda pairs, *more: met.append(pairs.distinct().count()) or linked(pairs, *more))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(x.doc_id for x in n.deduplicated(docs).collect()) == brute_stays(rows)
+    assert sum(met) < 5_000, met
