@@ -1,7 +1,7 @@
 """Rectangles that overlap, found by grids of several cell sizes, and rows of ruled tables.
 
 A rectangle stands on the level whose cells are as large as it is or larger, and so touches four of them at most;
-it is also listed on the larger levels that occur, four cells each at most. A pair meets on the higher of its two
+no level is used whose cells are less than AMPLE times as long as an average rectangle, so that most are listed once a level. It is also listed on the larger levels that occur, four cells each at most. A pair meets on the higher of its two
 levels and counts in the one cell that holds the corner where the common part begins: nothing is listed without
 bound, however large a rectangle is, and no pair is met twice.
 """
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lectern.session import checkpointed
 
 SIDES = ("x0", "y0", "x1", "y1")
+AMPLE = 8
 
 
 def _level(cell: float, sides: tuple[str, ...]) -> Column:
@@ -23,9 +24,10 @@ def _level(cell: float, sides: tuple[str, ...]) -> Column:
 
 
 def _listed(df: DataFrame, levels: DataFrame, cell: float, sides: tuple[str, ...], own: str) -> DataFrame:
-    """df under each cell it touches, on its own level and the larger ones of levels (one row: an array)."""
+    """df under each cell it touches, on its own level (the first of levels, if that is larger) and the larger ones of levels (one row: an array)."""
     at = lambda c: F.floor(F.col(c) / (cell * F.pow(F.lit(2.0), F.col("__level")))).cast("long")
-    x = df.withColumn(own, _level(cell, sides)).crossJoin(F.broadcast(levels))  # one row, a number a level
+    x = df.crossJoin(F.broadcast(levels))  # one row, a number a level
+    x = x.withColumn(own, F.greatest(_level(cell, sides), F.array_min("__levels")))
     x = x.withColumn("__level", F.explode(F.filter("__levels", lambda k: k >= F.col(own)))).drop("__levels")
     x = x.withColumn("__x", F.explode(F.sequence(at(sides[0]), at(sides[2]))))
     return x.withColumn("__y", F.explode(F.sequence(at(sides[1]), at(sides[3]))))
@@ -38,8 +40,12 @@ def rectangle_join(left: DataFrame, right: DataFrame, by: list[str], a: tuple[st
     """
     sound = lambda s: f"NOT isnan({s[0]}) AND NOT isnan({s[1]}) AND {s[0]} <= {s[2]} AND {s[1]} <= {s[3]} AND {s[2]} < double('infinity') AND {s[3]} < double('infinity') AND {s[0]} > double('-infinity') AND {s[1]} > double('-infinity')"
     left, right = left.filter(sound(a)), right.filter(sound(b))
-    levels = left.select(_level(cell, a).alias("k")).unionByName(right.select(_level(cell, b).alias("k"))).agg(F.array_sort(F.collect_set("k")).alias("__levels"))
-    levels = checkpointed(levels)
+    long = lambda df, s: df.select(_level(cell, s).alias("k"), F.greatest(F.col(s[2]) - F.col(s[0]), F.col(s[3]) - F.col(s[1])).alias("long"))
+    lengths = long(left, a).unionByName(long(right, b)).groupBy("k").agg(F.sum("long").alias("long"), F.count(F.lit(1)).alias("n"))
+    ample = F.ceil(F.log2(F.greatest(F.lit(1.0), AMPLE * F.sum("long") / F.sum("n") / cell))).cast("int")
+    levels = lengths.agg(F.collect_set("k").alias("k"), ample.alias("least"))
+    # AMPLE times the average may be more than the longest: then all stand on one level
+    levels = checkpointed(levels.select(F.array_sort(F.array_distinct(F.transform("k", lambda k: F.greatest(k, F.col("least"))))).alias("__levels")))
     x, y = _listed(left, levels, cell, a, "__a"), _listed(right, levels, cell, b, "__b")
     pairs = x.join(y, [*by, "__level", "__x", "__y"]).filter(F.col("__level") == F.greatest("__a", "__b"))
     col = F.col

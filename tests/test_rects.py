@@ -78,3 +78,18 @@ def test_ruled_rows_of_random_pages(spark):
         up = [(y0, y1) for x0, y0, x1, y1 in own if y1 - y0 > 8 and x1 - x0 <= 2]
         want |= {(d, a, b) for a, b in zip(across, across[1:], strict=False) if 8 < b - a < 400 and any(v0 <= a + 2 and v1 >= b - 2 for v0, v1 in up)}
     assert rows(R.ruled_rows(spark.createDataFrame(rules, "doc_id int, page int, x0 double, y0 double, x1 double, y1 double")), "doc_id", "y0", "y1") == sorted(want)
+
+
+def test_rectangles_are_listed_two_or_three_times(spark, monkeypatch):
+    """Small rectangles, and a few long ones, are listed two or three times each and meet as they do pair by pair."""
+    r, rows = random.Random(5), []
+    for i in range(800):
+        x, y, w = r.randrange(3000), r.randrange(3000), r.randrange(1, 50)
+        rows.append((1, i, float(x), float(y), float(x + (w * 20 if i % 50 == 0 else w)), float(y + r.randrange(9, 63))))
+    listed, plain = [], R._listed
+    monkeypatch.setattr(R, "_listed", lambda *more: (lambda x: listed.append(x.count()) or x)(plain(*more)))
+    of = lambda k: spark.createDataFrame(rows, f"g int, {k} int, {k}0 double, {k}1 double, {k}2 double, {k}3 double")
+    found = R.rectangle_join(of("a"), of("b"), ["g"], *(tuple(f"{k}{i}" for i in range(4)) for k in "ab"), 32.0).collect()
+    want = {(a[1], b[1]) for a in rows for b in rows if a[2] <= b[4] and b[2] <= a[4] and a[3] <= b[5] and b[3] <= a[5]}
+    assert len(found) == len(want) and {(x.a, x.b) for x in found} == want
+    assert sum(listed) < 2.5 * 2 * len(rows), listed
