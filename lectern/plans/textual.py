@@ -56,9 +56,7 @@ def best_token_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 def multiset_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold 97 % of an item's words, repetitions counted."""
     a = T.word_counts(table(spark, sf_dir, "benchmark"), "item_id", "text")
-    b = T.word_counts(table(spark, sf_dir, "documents"), "doc_id", "text")
-    x = T.coverage(a, T.shared_words(a, b, "item_id", "doc_id"), "item_id")
-    return x.filter("100 * common >= 97 * size").select("item_id", "doc_id", "common", "size")
+    return T.covered(a, table(spark, sf_dir, "documents"), "item_id", "doc_id", "text", 97)
 
 
 def stem_containment(spark: SparkSession, sf_dir: str) -> DataFrame:

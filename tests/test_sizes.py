@@ -57,3 +57,19 @@ def test_audit_sorts_its_bands_three_times(spark):
     # every sort of a task holds its rows at the same time
     assert found._jdf.queryExecution().executedPlan().toString().count("Sort [") == 3
     assert [(r.ord, r.finding, r.size) for r in found.collect()] == [(1, "split figure", 104.0)]
+
+
+def test_multiset_coverage_counts_words_of_few_texts(spark, tmp_path, monkeypatch):
+    """Common words in all texts, a rare one an item: words are counted only of the texts that have some of an item's rarest."""
+    common = [f"w{i}" for i in range(30)]
+    items = [(i, " ".join([*common, "w0", "w0", f"rare{i}", "last"])) for i in range(4)] + [(4, "only twice twice")]
+    lacking = " ".join([*common[1:], "w0", "w0", "w0", "rare1"])
+    docs = [(i, " ".join(common)) for i in range(200)] + [(300, items[0][1].upper()), (301, lacking), (302, lacking.replace("w5 ", "")), (303, "only twice"), (304, "only twice, twice!"), (305, None)]
+    docs += [(306, "only twice"), (306, "twice"), (None, "only twice twice")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    counted, plain = [], textual.T.word_counts
+    monkeypatch.setattr(textual.T, "word_counts", lambda df, key, *more: counted.append((key, df.count())) or plain(df, key, *more))
+    found = {tuple(r) for r in textual.multiset_coverage(spark, str(tmp_path)).collect()}
+    assert found == {(0, 300, 34, 34), *((i, 300, 33, 34) for i in (1, 2, 3)), (1, 301, 33, 34), (4, 304, 3, 3), (4, 306, 3, 3), (4, None, 3, 3)}
+    assert sum(n for key, n in counted if key == "doc_id") < 20, counted
