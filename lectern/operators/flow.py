@@ -1,7 +1,7 @@
 """Bands set on pages: which stay together, where each lands, and what an audit of the pages finds.
 
 A band is a strip of a source page. `linked` names why a band stays with the next of its item; `flowed` sets the bands of
-a unit on pages, one unit at a time in a task; `audited` reads placed bands by their neighbours, with windows alone.
+a unit on pages, a batch of units at a time in a task; `audited` reads placed bands by their neighbours, with windows alone.
 
 Defined results: a band without a figure, flag or position has none of the links that ask for one; heights that are null
 are 0; a unit without bands has no page; repeated bands are set one after the other.
@@ -9,8 +9,11 @@ are 0; a unit without bands has no page; repeated bands are set one after the ot
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from lectern.operators import kernels as K
 
@@ -20,12 +23,12 @@ GAP, TURN, CLOSE, FAR, SHORT, SLIM, TALL, TOP = 8, 4, 14, 60, 45, 18, 30, 130
 FIRM = ("figure", "label", "introduces", "caption", "leads")
 
 
-def linked(bands: DataFrame, unit: str, item: str, order: list[str]) -> DataFrame:
-    """bands (page, y0, y1, figure, mark_only, colon, bullet, caption, leads) with ord in the unit, height, gap to the band before and link to the next."""
-    w = Window.partitionBy(unit).orderBy(*order)
+def links(bands: DataFrame, item: str, w: WindowSpec) -> DataFrame:
+    """bands (page, y0, y1, figure, mark_only, colon, bullet, caption, leads) with height, gap to the band before and link to the next; w holds a unit's or an item's bands in order."""
     here = ("page", "y0", "y1", "figure", "mark_only", "colon", "leads", item)
-    x = bands.withColumn("ord", F.row_number().over(w)).withColumn("_next", F.lead(F.struct(*here)).over(w)).withColumn("_before", F.lag(F.struct(*here)).over(w))
-    n, b = (lambda c: F.col(f"_next.{c}")), (lambda c: F.col(f"_before.{c}"))
+    ahead, behind = {f"_next_{c}": F.lead(c).over(w) for c in here}, {f"_before_{c}": F.lag(c).over(w) for c in ("page", "y1", item)}
+    x = bands.withColumns(ahead | behind | {"_next": F.lead(F.lit(True)).over(w), "_before": F.lag(F.lit(True)).over(w)})
+    n, b = (lambda c: F.col(f"_next_{c}")), (lambda c: F.col(f"_before_{c}"))
     flag = lambda c: F.coalesce(c if isinstance(c, Column) else F.col(c), F.lit(False))
     tall, tall_next, apart = F.col("y1") - F.col("y0"), n("y1") - n("y0"), n("y0") - F.col("y1")
     same, turned = F.col("page") == n("page"), n("page") == F.col("page") + 1
@@ -45,76 +48,124 @@ def linked(bands: DataFrame, unit: str, item: str, order: list[str]) -> DataFram
     down = F.col("y0") - b("y1")
     gap = F.when(F.col("_before").isNull() | ~joins(b), 0.0).when((b("page") == F.col("page")) & (down >= 0), F.least(down, F.lit(float(GAP)))).otherwise(float(TURN))
     x = x.withColumns({"height": F.coalesce(tall, F.lit(0.0)), "gap": gap.cast("double"), "link": F.when(F.col("_next").isNotNull() & joins(n), link)})
-    return x.drop("_next", "_before")
+    return x.drop("_next", "_before", *ahead, *behind)
 
 
-def chain_height(i: int, rows: list[tuple], room: float) -> float:
-    """Band i and those linked to it that fit a page: no further than one figure with one line or its marks, and the next band at least."""
-    total, figure, after = rows[i][2], rows[i][4], 0
-    for k in range(i, len(rows) - 1):
-        _, gap, height, _, of, mark = rows[k + 1]
-        if rows[k][3] is None or (of is not None and figure not in (None, of)):
-            break
-        if of is not None:
-            figure = of
-        elif figure is not None:
-            after += 1
-            if after > 1 and not mark:
-                break
-        if total + gap + height > room and k > i:
+def linked(bands: DataFrame, unit: str, item: str, order: list[str]) -> DataFrame:
+    """bands with ord in the unit and what `links` adds."""
+    w = Window.partitionBy(unit).orderBy(*order)
+    return links(bands.withColumn("ord", F.row_number().over(w)), item, w)
+
+
+def chain_heights(at: np.ndarray, height: np.ndarray, gap: np.ndarray, tied: np.ndarray, figure: np.ndarray, mark: np.ndarray, room: float) -> np.ndarray:
+    """Of each band in at, it and those linked to it that fit a page: no further than one figure with one line or its marks, and the next band at least.
+
+    All chains grow by a band at a time, and those that end fall out.
+    """
+    total = height[at]
+    open_, of, after = np.arange(len(at)), figure[at], np.zeros(len(at), int)
+    for grown in range(len(height)):
+        k = at[open_] + grown
+        on = tied[k]
+        open_, of, after, k = open_[on], of[on], after[on], k[on] + 1
+        if not len(open_):
             break
-        total += gap + height
+        next_of = figure[k]
+        other = (next_of >= 0) & (of >= 0) & (of != next_of)
+        after = after + ((next_of < 0) & (of >= 0))
+        more = gap[k] + height[k]
+        ends = other | ((next_of < 0) & (of >= 0) & (after > 1) & ~mark[k])
+        if grown:
+            ends |= total[open_] + gap[k] + height[k] > room
+        of, on = np.where(next_of >= 0, next_of, of), ~ends
+        open_, of, after = open_[on], of[on], after[on]
+        total[open_] += more[on]
     return total
 
 
-def core_height(i: int, rows: list[tuple], depth: int = 3) -> tuple[float, bool]:
-    """What is never split where it fits: a figure to its end and the mark after it, below `depth` lines that lead to it; and whether there is more than a line."""
-    total, firm = rows[i][2], rows[i][4] is not None
-    for k in range(i, len(rows) - 1):
-        _, gap, height, _, _, mark = rows[k + 1]
-        link, inside = rows[k][3], rows[k][4] is not None
-        if not (link == "figure" or (inside and link == "mark") or (not inside and link in FIRM and depth)):
-            break
-        total, firm, depth = total + gap + height, True, depth - (not inside)
-        if inside and link == "mark":
+def core_heights(at: np.ndarray, height: np.ndarray, gap: np.ndarray, link: np.ndarray, inside: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each band in at, what is never split where it fits: a figure to its end and the mark after it, below `depth` lines that lead to it; and whether there is more than a line."""
+    total, firm = height[at], inside[at]
+    open_, left = np.arange(len(at)), np.full(len(at), depth)
+    for grown in range(len(height)):
+        k = at[open_] + grown
+        marked = inside[k] & (link[k] == MARK)
+        on = (link[k] == FIGURE) | marked | (~inside[k] & (link[k] >= FIGURE) & (left != 0))
+        open_, k, marked = open_[on], k[on], marked[on]
+        if not len(open_):
             break
+        total[open_] = total[open_] + gap[k + 1] + height[k + 1]
+        firm[open_] = True
+        open_, left = open_[~marked], (left[on] - ~inside[k])[~marked]
     return total, firm
 
 
-def places(rows: list[tuple], room: float, head: float, between: float, depth: int = 3) -> list[tuple]:
-    """Page, heading's top, top, bottom and scale of each band (item, gap, height, link, figure, mark_only) of a unit, in order."""
+#: Links as numbers: none is 0, those of FIRM from FIGURE on.
+LOOSE, MARK, FIGURE, LED = 1, 2, 3, 4
+
+
+def link_codes(link: pa.Array) -> np.ndarray:
+    found = link.dictionary_encode()
+    names = [{"mark": MARK, "figure": FIGURE}.get(v, LED if v in FIRM else LOOSE) for v in found.dictionary.to_pylist()]
+    return np.array([*names, 0])[K.codes(link)]
+
+
+def placed(bands: pa.RecordBatch, room: float, head: float, between: float, depth: int = 3) -> pa.RecordBatch:
+    """Whole units of bands (unit, ord, item, gap, height, link, figure, mark_only) with the page, heading's top, top, bottom and scale of each.
+
+    A band turns the page if more than what is left of it is needed: by the band, or by what must or should stay with it. That is known
+    beforehand for all bands at once, and only how much of a page is used goes from band to band.
+    """
     tall = room - head
-    rows = [(item, gap, min(height, tall), link, figure, bool(mark)) for item, gap, height, link, figure, mark in rows]
-    page, used, out = 1, 0.0, []
-    for i, (item, gap, height, *_) in enumerate(rows):
-        first = i == 0 or rows[i - 1][0] != item
-        link = None if first else rows[i - 1][3]
-        above = head if first else 0.0
-        gap = (between if first else gap) if used else 0.0
-        left = room - used - gap - above
-        turn = height > left
-        if used and not turn and link != "figure":
-            core, firm = core_height(i, rows, depth)
-            turn = left < core <= tall and (firm or link is None)
-            turn = turn or (link is None and left < chain_height(i, rows, tall) <= tall)
-        if turn and used:
-            page, used, gap = page + 1, 0.0, 0.0
-        top = used + gap + above
-        out.append((page, used + gap if first else None, top, top + height))
-        used = top + height
-    return out
-
-
-def flowed(bands: DataFrame, unit: str, item: str, room: float, head: float, between: float, depth: int = 3) -> DataFrame:
-    """Linked bands with page, head_page and head_top (of an item's first band), top, bottom and scale; a unit is a book's chapter, and small."""
-
-    def f(rows: list[tuple]) -> list[tuple]:
-        found = places(rows, room, head, between, depth)
-        scale = [min(1.0, (room - head) / r[2]) if r[2] else 1.0 for r in rows]
-        return [(r[0], r[1], r[3], page, None if h is None else page, h, top, bottom, s) for r, (page, h, top, bottom), s in zip(rows, found, scale, strict=True)]
-
-    added = f"{item} {dict(bands.dtypes)[item]}, gap double, link string, page int, head_page int, head_top double, top double, bottom double, scale double"
-    return K.fold(bands, unit, "ord", [item, "gap", "height", "link", "figure", "mark_only"], added, f)
+    number = lambda c: bands.column(c).cast("double").fill_null(0).to_numpy(zero_copy_only=False)
+    plain, gap, link, figure = number("height"), number("gap"), link_codes(bands.column("link")), K.codes(bands.column("figure"))
+    mark = bands.column("mark_only").cast("bool").fill_null(False).to_numpy(zero_copy_only=False)
+    height = np.where(tall < plain, tall, plain)
+    opens = K.changes(bands.column(0))
+    first = opens | K.changes(bands.column(2))
+    # a unit's last band is followed by none, whatever its link
+    last = np.append(opens[1:], True)
+    onward = np.where(last, 0, link)
+    before = np.where(first, 0, np.append(0, link[:-1])) if len(link) else link
+    need = height.copy()
+    at = np.flatnonzero(before != FIGURE)
+    core, firm = core_heights(at, height, gap, onward, figure >= 0, depth)
+    held = (core <= tall) & (firm | (before[at] == 0))
+    need[at[held]] = np.maximum(need[at[held]], core[held])
+    at = np.flatnonzero(before == 0)
+    chain = chain_heights(at, height, gap, onward > 0, figure, mark, tall)
+    held = chain <= tall
+    need[at[held]] = np.maximum(need[at[held]], chain[held])
+    pages, spaces, used = [], [], 0.0
+    for unit, space, above, h, wanted in zip(opens.tolist(), np.where(first, between, gap).tolist(), np.where(first, head, 0.0).tolist(), height.tolist(), need.tolist(), strict=True):
+        if unit:
+            page, used = 1, 0.0
+        if used and wanted > room - used - space - above:
+            page, used = page + 1, 0.0
+        start = used + space if used else used
+        used = start + above + h
+        pages.append(page)
+        spaces.append(start)
+    page, start = np.array(pages, "int32"), np.array(spaces, "float64")
+    top = start + np.where(first, head, 0.0)
+    scale = np.minimum(1.0, np.divide(tall, plain, out=np.ones(len(plain)), where=plain != 0))
+    kept = [bands.column(c) for c in (0, 1, 2)] + [bands.column("gap"), bands.column("link")]
+    made = [pa.array(page), pa.array(page, mask=~first), pa.array(start, mask=~first), pa.array(top), pa.array(top + height), pa.array(scale)]
+    return pa.RecordBatch.from_arrays(kept + made, names=[*bands.schema.names[:3], "gap", "link", *ADDED])
+
+
+ADDED = {"page": "int", "head_page": "int", "head_top": "double", "top": "double", "bottom": "double", "scale": "double"}
+
+
+def flowed(bands: DataFrame, unit: str, item: str, room: float, head: float, between: float, depth: int = 3, order: list[str] | None = None) -> DataFrame:
+    """Linked bands with page, head_page and head_top (of an item's first band), top, bottom and scale; a unit is a book's chapter, and small.
+
+    order: columns in whose order, that of ord, the bands of a unit lie already, so that they are not sorted once more.
+    """
+    columns, kinds = ["ord", item, "gap", "height", "link", "figure", "mark_only"], dict(bands.dtypes)
+    added = ", ".join(f"{c} {t}" for c, t in ADDED.items())
+    schema = f"`{unit}` {kinds[unit]}, ord {kinds['ord']}, `{item}` {kinds[item]}, gap double, link string, {added}"
+    return K.fold_columns(bands, unit, order or columns, columns, schema, lambda b: placed(b, room, head, between, depth))
 
 
 def audited(placed: DataFrame, unit: str, item: str, room: float, head: float) -> DataFrame:

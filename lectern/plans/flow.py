@@ -14,17 +14,22 @@ ROOM, HEAD, BETWEEN = 720.0, 24.0, 10.0
 
 def bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linked bands: four to a source page, some of them figures, marks, captions, lines with a colon or a lead, and some taller than a page."""
-    order = Window.partitionBy("l_orderkey").orderBy(*LINE)
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE).withColumn("i", F.row_number().over(order) - 1)
     q, p, i = F.col("l_quantity").cast("int"), F.col("l_partkey"), F.col("i")
-    x = li.withColumns({"q": q, "page": F.floor(i / 4).cast("int"), "figure": F.when(q % 3 == 0, F.floor(i / 2).cast("int"))})
-    x = x.withColumn("h", F.when(p % 90 == 0, 800).when(p % 5 == 0, 12).when(p % 5 == 1, 40 + q * 3).otherwise(14 + q)).withColumn("free", F.when(p % 2 == 0, p % 13).otherwise(q))
-    foot = F.sum(F.col("h") + F.col("free")).over(Window.partitionBy("l_orderkey", "page").orderBy("i")).cast("double")
+    # dealt out as read, and not with what is computed for the windows
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE).repartition("l_orderkey")
+    x = li.withColumn("h", F.when(p % 90 == 0, 800).when(p % 5 == 0, 12).when(p % 5 == 1, 40 + q * 3).otherwise(14 + q)).withColumn("size", F.col("h") + F.when(p % 2 == 0, p % 13).otherwise(q))
+    # all windows of an order are the one by line, so that it is sorted once; on its page three lines at most stand above a line
+    order = Window.partitionBy("l_orderkey").orderBy(*LINE)
+    x = x.withColumns({"i": F.row_number().over(order) - 1} | {f"above_{k}": F.lag("size", k).over(order) for k in (1, 2, 3)})
+    sizes = [F.col("size"), *(F.when(i % 4 >= k, F.col(f"above_{k}")) for k in (1, 2, 3))]
+    foot = F.when(F.coalesce(*sizes).isNotNull(), sum(F.coalesce(s, F.lit(0)) for s in sizes)).cast("double")
+    x = x.withColumns({"page": F.floor(i / 4).cast("int"), "figure": F.when(q % 3 == 0, F.floor(i / 2).cast("int"))})
     mark = (q % 7 == 1) & F.col("figure").isNull()
     x = x.withColumns({"y1": foot, "mark_only": mark, "colon": p % 6 == 0, "bullet": p % 11 == 0, "caption": (p % 4 == 1) & ~mark, "leads": F.when(mark, 0).otherwise(2 - p % 3)}).withColumn("y0", F.col("y1") - F.col("h"))
+    x = P.links(x, "l_orderkey", order)
     x = x.join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
-    x = x.select(F.col("o_custkey").alias("unit"), F.col("l_orderkey").alias("item"), "i", F.col("l_partkey").alias("p"), "page", "y0", "y1", "figure", "mark_only", "colon", "bullet", "caption", "leads")
-    return P.linked(x, "unit", "item", ["item", "i"])
+    x = x.select(F.col("o_custkey").alias("unit"), F.col("l_orderkey").alias("item"), "i", F.col("l_partkey").alias("p"), "height", "gap", "link", "figure", "mark_only")
+    return x.withColumn("ord", F.row_number().over(Window.partitionBy("unit").orderBy("item", "i")))
 
 
 def linked_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +39,7 @@ def linked_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def linked_page_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each band lands: figures whole, lines with what they lead to, headings with their first band, bands too tall made smaller."""
-    return P.flowed(bands(spark, sf_dir), "unit", "item", ROOM, HEAD, BETWEEN)
+    return P.flowed(bands(spark, sf_dir), "unit", "item", ROOM, HEAD, BETWEEN, order=["item", "i"])
 
 
 def stacked(spark: SparkSession, sf_dir: str) -> DataFrame:

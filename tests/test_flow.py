@@ -5,6 +5,7 @@ import random
 import pytest
 
 from lectern.operators import flow
+from lectern.plans import flow as plans
 
 ROOM, HEAD, BETWEEN = 200.0, 20.0, 6.0
 BANDS = "unit long, item long, i long, page int, y0 double, y1 double, figure int, mark_only boolean, colon boolean, bullet boolean, caption boolean, leads int, extra string"
@@ -71,3 +72,94 @@ def test_nulls_and_empty(spark):
         out = flow.flowed(x, "unit", "item", ROOM, HEAD, BETWEEN)
         assert out.count() == len(some)
         flow.audited(out, "unit", "item", ROOM, HEAD).collect()
+
+
+def chain_height(i, rows, room):
+    total, figure, after = rows[i][2], rows[i][4], 0
+    for k in range(i, len(rows) - 1):
+        _, gap, height, _, of, mark = rows[k + 1]
+        if rows[k][3] is None or (of is not None and figure not in (None, of)):
+            break
+        if of is not None:
+            figure = of
+        elif figure is not None:
+            after += 1
+            if after > 1 and not mark:
+                break
+        if total + gap + height > room and k > i:
+            break
+        total += gap + height
+    return total
+
+
+def core_height(i, rows, depth):
+    total, firm = rows[i][2], rows[i][4] is not None
+    for k in range(i, len(rows) - 1):
+        _, gap, height, _, _, mark = rows[k + 1]
+        link, inside = rows[k][3], rows[k][4] is not None
+        if not (link == "figure" or (inside and link == "mark") or (not inside and link in flow.FIRM and depth)):
+            break
+        total, firm, depth = total + gap + height, True, depth - (not inside)
+        if inside and link == "mark":
+            break
+    return total, firm
+
+
+def step_by_step(rows, room, head, between, depth):
+    """A unit's bands (item, gap, height, link, figure, mark_only) one after the other, each with its look-ahead."""
+    tall = room - head
+    rows = [(item, gap, min(height, tall), link, figure, bool(mark)) for item, gap, height, link, figure, mark in rows]
+    page, used, out = 1, 0.0, []
+    for i, (item, gap, height, *_) in enumerate(rows):
+        first = i == 0 or rows[i - 1][0] != item
+        link = None if first else rows[i - 1][3]
+        above = head if first else 0.0
+        gap = (between if first else gap) if used else 0.0
+        left = room - used - gap - above
+        turn = height > left
+        if used and not turn and link != "figure":
+            core, firm = core_height(i, rows, depth)
+            turn = left < core <= tall and (firm or link is None)
+            turn = turn or (link is None and left < chain_height(i, rows, tall) <= tall)
+        if turn and used:
+            page, used, gap = page + 1, 0.0, 0.0
+        top = used + gap + above
+        out.append((page, page if first else None, used + gap if first else None, top, top + height))
+        used = top + height
+    return out
+
+
+LINKED = "unit string, ord int, item string, gap double, height double, link string, figure string, mark_only boolean"
+
+
+@pytest.mark.parametrize("depth,batch", [(0, 10_000), (1, 3), (3, 7), (3, 10_000), (99, 50)])
+def test_placed_as_step_by_step(spark, depth, batch):
+    """Links of all kinds in all places, heights of zero, units and items that are null and units longer than a batch."""
+    r, units = random.Random(depth), {}
+    for u in [None, *(f"u{n}" for n in range(60))]:
+        item = None
+        for _ in range(r.choice([1, 2, 9, 30, 80])):
+            item = r.choice([item, item, item, None, f"i{r.randint(0, 3)}"])
+            link = r.choice([None, "figure", "mark", "label", "introduces", "caption", "leads", "beside"])
+            units.setdefault(u, []).append((item, r.choice([0.0, 4.0, 7.3]), r.choice([0.0, 8.1, 12.0, 40.7, 110.0, 500.0]), link, r.choice([None, None, "a", "b"]), r.choice([None, False, True])))
+    df = spark.createDataFrame([(u, n, *row) for u, rows in units.items() for n, row in enumerate(rows)], LINKED)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(size)
+    spark.conf.set(size, str(batch))
+    try:
+        found = {(x.unit, x.ord): x for x in flow.flowed(df, "unit", "item", ROOM, HEAD, BETWEEN, depth).collect()}
+    finally:
+        spark.conf.set(size, old)
+    assert len(found) == df.count()
+    for u, rows in units.items():
+        for n, (row, want) in enumerate(zip(rows, step_by_step(rows, ROOM, HEAD, BETWEEN, depth), strict=True)):
+            x = found[u, n]
+            assert (x.page, x.head_page, x.head_top, x.top, x.bottom) == want, (u, n)
+            assert (x.item, x.gap, x.link, x.scale) == (row[0], row[1], row[3], min(1.0, (ROOM - HEAD) / row[2]) if row[2] else 1.0)
+
+
+def test_linked_page_flow_sorts_twice(spark):
+    """An order's lines once and a customer's bands once; nothing is dealt out more often than by order and by customer."""
+    plan = plans.linked_page_flow(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 2
+    assert plan.count("Exchange hashpartitioning") == 2
