@@ -1,7 +1,7 @@
 """Bands set on pages: which stay together, where each lands, and what an audit of the pages finds.
 
 A band is a strip of a source page. `linked` names why a band stays with the next of its item; `flowed` sets the bands of
-a unit on pages, a batch of units at a time in a task; `audited` reads placed bands by their neighbours, with windows alone.
+a unit on pages, a batch of bands at a time in a task; `audited` reads placed bands by their neighbours, with windows alone.
 
 Defined results: a band without a figure, flag or position has none of the links that ask for one; heights that are null
 are 0; a unit without bands has no page; repeated bands are set one after the other.
@@ -9,6 +9,8 @@ are 0; a unit without bands has no page; repeated bands are set one after the ot
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -110,62 +112,70 @@ def link_codes(link: pa.Array) -> np.ndarray:
     return np.array([*names, 0])[K.codes(link)]
 
 
-def placed(bands: pa.RecordBatch, room: float, head: float, between: float, depth: int = 3) -> pa.RecordBatch:
-    """Whole units of bands (unit, ord, item, gap, height, link, figure, mark_only) with the page, heading's top, top, bottom and scale of each.
+def placing(room: float, head: float, between: float, depth: int = 3) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    """Adds the page, heading's top, top, bottom and scale to bands (unit, ord, item, gap, height, link, figure, mark_only), batch after batch; but for the last, a batch ends with a band without a link.
 
     A band turns the page if more than what is left of it is needed: by the band, or by what must or should stay with it. That is known
-    beforehand for all bands at once, and only how much of a page is used goes from band to band.
+    beforehand for all bands at once, and only the page and how much of it is used go from band to band.
     """
-    tall = room - head
-    number = lambda c: bands.column(c).cast("double").fill_null(0).to_numpy(zero_copy_only=False)
-    plain, gap, link, figure = number("height"), number("gap"), link_codes(bands.column("link")), K.codes(bands.column("figure"))
-    mark = bands.column("mark_only").cast("bool").fill_null(False).to_numpy(zero_copy_only=False)
-    height = np.where(tall < plain, tall, plain)
-    opens = K.changes(bands.column(0))
-    first = opens | K.changes(bands.column(2))
-    # a unit's last band is followed by none, whatever its link
-    last = np.append(opens[1:], True)
-    onward = np.where(last, 0, link)
-    before = np.where(first, 0, np.append(0, link[:-1])) if len(link) else link
-    need = height.copy()
-    at = np.flatnonzero(before != FIGURE)
-    core, firm = core_heights(at, height, gap, onward, figure >= 0, depth)
-    held = (core <= tall) & (firm | (before[at] == 0))
-    need[at[held]] = np.maximum(need[at[held]], core[held])
-    at = np.flatnonzero(before == 0)
-    chain = chain_heights(at, height, gap, onward > 0, figure, mark, tall)
-    held = chain <= tall
-    need[at[held]] = np.maximum(need[at[held]], chain[held])
-    pages, spaces, used = [], [], 0.0
-    for unit, space, above, h, wanted in zip(opens.tolist(), np.where(first, between, gap).tolist(), np.where(first, head, 0.0).tolist(), height.tolist(), need.tolist(), strict=True):
-        if unit:
-            page, used = 1, 0.0
-        if used and wanted > room - used - space - above:
-            page, used = page + 1, 0.0
-        start = used + space if used else used
-        used = start + above + h
-        pages.append(page)
-        spaces.append(start)
-    page, start = np.array(pages, "int32"), np.array(spaces, "float64")
-    top = start + np.where(first, head, 0.0)
-    scale = np.minimum(1.0, np.divide(tall, plain, out=np.ones(len(plain)), where=plain != 0))
-    kept = [bands.column(c) for c in (0, 1, 2)] + [bands.column("gap"), bands.column("link")]
-    made = [pa.array(page), pa.array(page, mask=~first), pa.array(start, mask=~first), pa.array(top), pa.array(top + height), pa.array(scale)]
-    return pa.RecordBatch.from_arrays(kept + made, names=[*bands.schema.names[:3], "gap", "link", *ADDED])
+    tall, page, used, latest = room - head, 1, 0.0, None
+
+    def placed(bands: pa.RecordBatch) -> pa.RecordBatch:
+        nonlocal page, used, latest
+        number = lambda c: bands.column(c).cast("double").fill_null(0).to_numpy(zero_copy_only=False)
+        plain, gap, link, figure = number("height"), number("gap"), link_codes(bands.column("link")), K.codes(bands.column("figure"))
+        mark = bands.column("mark_only").cast("bool").fill_null(False).to_numpy(zero_copy_only=False)
+        height = np.where(tall < plain, tall, plain)
+        opens, first = K.changes(bands.column(0)), K.changes(bands.column(2))
+        ends = [tuple(bands.column(c)[at].as_py() for c in (0, 2)) for at in (0, -1)]
+        if latest:
+            opens[0], first[0] = ends[0][0] != latest[0], ends[0][1] != latest[1]
+        first, latest = first | opens, ends[1]
+        # a unit's last band is followed by none, whatever its link
+        onward = np.where(np.append(opens[1:], True), 0, link)
+        before = np.where(first, 0, np.append(0, link[:-1]))
+        need = height.copy()
+        at = np.flatnonzero(before != FIGURE)
+        core, firm = core_heights(at, height, gap, onward, figure >= 0, depth)
+        held = (core <= tall) & (firm | (before[at] == 0))
+        need[at[held]] = np.maximum(need[at[held]], core[held])
+        at = np.flatnonzero(before == 0)
+        chain = chain_heights(at, height, gap, onward > 0, figure, mark, tall)
+        held = chain <= tall
+        need[at[held]] = np.maximum(need[at[held]], chain[held])
+        pages, starts = [], []
+        for unit, space, above, h, wanted in zip(opens.tolist(), np.where(first, between, gap).tolist(), np.where(first, head, 0.0).tolist(), height.tolist(), need.tolist(), strict=True):
+            if unit:
+                page, used = 1, 0.0
+            if used and wanted > room - used - space - above:
+                page, used = page + 1, 0.0
+            start = used + space if used else used
+            used = start + above + h
+            pages.append(page)
+            starts.append(start)
+        on, start = np.array(pages, "int32"), np.array(starts, "float64")
+        top = start + np.where(first, head, 0.0)
+        scale = np.minimum(1.0, np.divide(tall, plain, out=np.ones(len(plain)), where=plain != 0))
+        kept = [bands.column(c) for c in (0, 1, 2)] + [bands.column("gap"), bands.column("link")]
+        made = [pa.array(on), pa.array(on, mask=~first), pa.array(start, mask=~first), pa.array(top), pa.array(top + height), pa.array(scale)]
+        return pa.RecordBatch.from_arrays(kept + made, names=[*bands.schema.names[:3], "gap", "link", *ADDED])
+
+    return placed
 
 
 ADDED = {"page": "int", "head_page": "int", "head_top": "double", "top": "double", "bottom": "double", "scale": "double"}
 
 
 def flowed(bands: DataFrame, unit: str, item: str, room: float, head: float, between: float, depth: int = 3, order: list[str] | None = None) -> DataFrame:
-    """Linked bands with page, head_page and head_top (of an item's first band), top, bottom and scale; a unit is a book's chapter, and small.
+    """Linked bands with page, head_page and head_top (of an item's first band), top, bottom and scale; a unit is a book's chapter.
 
     order: columns in whose order, that of ord, the bands of a unit lie already, so that they are not sorted once more.
     """
     columns, kinds = ["ord", item, "gap", "height", "link", "figure", "mark_only"], dict(bands.dtypes)
     added = ", ".join(f"{c} {t}" for c, t in ADDED.items())
     schema = f"`{unit}` {kinds[unit]}, ord {kinds['ord']}, `{item}` {kinds[item]}, gap double, link string, {added}"
-    return K.fold_columns(bands, unit, order or columns, columns, schema, lambda b: placed(b, room, head, between, depth))
+    # nothing looks beyond a band without a link
+    return K.fold_columns(bands, unit, order or columns, columns, schema, lambda b: b.column("link").is_null().to_numpy(zero_copy_only=False), lambda: placing(room, head, between, depth))
 
 
 def audited(placed: DataFrame, unit: str, item: str, room: float, head: float) -> DataFrame:

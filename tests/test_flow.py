@@ -163,3 +163,32 @@ def test_linked_page_flow_sorts_twice(spark):
     plan = plans.linked_page_flow(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Sort [") == 2
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_long_unit_is_not_held_whole(monkeypatch):
+    """A unit of many batches: each is placed up to its last band without a link, and goes on where the one before ended."""
+    import pyarrow as pa
+
+    r, n = random.Random(1), 5_000
+    rows = [(i // 30, r.choice([0.0, 4.0]), r.choice([8.0, 40.0, 90.0]), r.choice([None, "figure", "mark", "leads"]), r.choice([None, 1, 2]), r.random() < 0.2) for i in range(n)]
+    columns = [["u"] * n, list(range(n)), *map(list, zip(*rows, strict=True))]
+    kinds = [pa.string(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.string(), pa.int32(), pa.bool_()]
+    whole = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["unit", "ord", "item", "gap", "height", "link", "figure", "mark_only"])
+    runs, sizes = [], []
+
+    class Rows:
+        def __getattr__(self, _):
+            return lambda *more: self
+
+        def mapInArrow(self, run, schema):
+            runs.append(run)
+
+    placing = flow.placing
+    monkeypatch.setattr(flow, "placing", lambda *a: (lambda f: lambda b: sizes.append(b.num_rows) or f(b))(placing(*a)))
+    bands = Rows()
+    bands.dtypes = [("unit", "string"), ("ord", "int"), ("item", "bigint")]
+    flow.flowed(bands, "unit", "item", ROOM, HEAD, BETWEEN)
+    found = pa.Table.from_batches(runs[0](whole.slice(i, 100) for i in range(0, n, 100))).to_pydict()
+    want = step_by_step(rows, ROOM, HEAD, BETWEEN, 3)
+    assert list(zip(*(found[c] for c in ("page", "head_page", "head_top", "top", "bottom")), strict=True)) == want
+    assert sum(sizes) == n and max(sizes) < 250
