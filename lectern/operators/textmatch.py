@@ -54,12 +54,12 @@ def covered(items: DataFrame, texts: DataFrame, a: str, b: str, text: str, perce
     """
     vocabulary = items.select("word").distinct()
     words = texts.select(F.col(b).alias("__b"), F.explode(F.array_distinct(word_list(F.col(text)))).alias("word"))
-    known = checkpointed(words.join(F.broadcast(vocabulary), "word", "left_semi") if vocabulary.count() <= SENT else words.join(vocabulary, "word", "left_semi"))
+    known = checkpointed(words.join(F.broadcast(vocabulary), "word", "left_semi") if vocabulary.count() <= SENT else words.join(vocabulary, "word", "left_semi"), by_size=True)
     rare = items.join(known.groupBy("word").agg(F.count(F.lit(1)).alias("__df")), "word", "left").fillna(0, "__df")
     rarest = Window.partitionBy(a).orderBy("__df", "word")
     rare = rare.withColumn("__before", F.sum("n").over(rarest) - F.col("n")).withColumn("__size", F.sum("n").over(Window.partitionBy(a)))
-    rare = checkpointed(rare.filter(100 * F.col("__before") <= (100 - percent) * F.col("__size")).select(a, "word"))
-    some = checkpointed(known.join(rare, "word").select(a, "__b").distinct())
+    rare = checkpointed(rare.filter(100 * F.col("__before") <= (100 - percent) * F.col("__size")).select(a, "word"), by_size=True)
+    some = checkpointed(known.join(rare, "word").select(a, "__b").distinct(), by_size=True)
     found = some.select("__b").distinct()
     counts = word_counts(texts.join(found, F.col(b).eqNullSafe(F.col("__b")), "left_semi"), b, text)
     pairs = some.join(items.withColumnRenamed("n", "__x"), a).join(counts.withColumnsRenamed({b: "__of", "word": "__word", "n": "__y"}), F.col("__b").eqNullSafe(F.col("__of")) & (F.col("word") == F.col("__word")))

@@ -33,11 +33,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame, by_size: bool = False) -> DataFrame:
     """df written to the folder that the cluster names in spark.checkpoint.dir, and read back; a folder of its own in a single process (tests), an error on a cluster.
 
     The files are compressed columns, of which later steps read those that they use: df.checkpoint() writes whole rows, and
     keeps the shuffle files behind them until the driver collects garbage. Here they go when the table is written.
+
+    Spark takes the size of the files for that of the rows, which is many times as much, and would send a table of millions
+    of rows to all tasks through the driver. So its joins, and those of what is selected, exploded or grouped of it, are by sorting;
+    by_size: Spark may choose, where the other side has whole texts that should stay where they are.
     """
     spark, sc = df.sparkSession, df.sparkSession.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -53,4 +57,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    return found if by_size else sorted_joins(found)
+
+
+def sorted_joins(df: DataFrame) -> DataFrame:
+    """df, joined by sorting whatever size Spark expects of it: where a union, semi join or anti join of kept tables is joined, they no longer say so themselves."""
+    return df.hint("merge")

@@ -73,3 +73,31 @@ def test_multiset_coverage_counts_words_of_few_texts(spark, tmp_path, monkeypatc
     found = {tuple(r) for r in textual.multiset_coverage(spark, str(tmp_path)).collect()}
     assert found == {(0, 300, 34, 34), *((i, 300, 33, 34) for i in (1, 2, 3)), (1, 301, 33, 34), (4, 304, 3, 3), (4, 306, 3, 3), (4, None, 3, 3)}
     assert sum(n for key, n in counted if key == "doc_id") < 20, counted
+
+
+def static_broadcasts(spark, monkeypatch, query):
+    """How many joins of a query and of what it keeps are planned to send a table to all tasks, before any is measured."""
+    import sys
+
+    found = []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    count = lambda df: found.append(plan(df).count("BroadcastHashJoin") + plan(df).count("BroadcastNestedLoopJoin"))
+    for name in [m for m in sys.modules if m.startswith("lectern.") and m != "lectern.session" and hasattr(sys.modules[m], "checkpointed")]:
+        monkeypatch.setattr(sys.modules[name], "checkpointed", lambda df: count(df) or checkpointed(df))
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        count(query(spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert len(found) > 2
+    return sum(found)
+
+
+def test_kept_table_is_not_sent_to_all_tasks(spark):
+    """Its files are a hundredth of its rows, which Spark would otherwise take for small."""
+    one = spark.range(400_000).select("id", F.lit("the same words in each row").alias("text"))
+    many, few = checkpointed(one), checkpointed(one.filter("id < 1000"))
+    grouped = many.filter("id % 2 = 0").groupBy("id").agg(F.min("text").alias("text"))
+    for df in (many.join(few.select("id"), "id"), few.select("id").join(grouped, "id", "left")):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.count() == 1000
