@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.session import checkpointed
+from lectern.session import checkpointed, sorted_joins
 
 LETTER = ("doc", "letter")
 
@@ -111,7 +111,7 @@ def blocks(x: DataFrame, needs: DataFrame, leaves: DataFrame, room: int) -> Data
         moved = real.join(group.select("doc", F.col("other").alias("item")), ["doc", "item"])
         by = moved.groupBy("doc", "topic").agg(F.sum("marks").alias("m"))
         tops = by.withColumn("best", F.max("m").over(Window.partitionBy("doc"))).filter("m = best").groupBy("doc").agg(F.array_sort(F.collect_list("topic")).alias("tops"))
-        filed = moved.join(tops, "doc").groupBy("doc", "tops").agg(F.min_by("filed", F.when(F.array_contains("tops", F.col("filed")), F.col("item"))).alias("f"))
+        filed = moved.join(sorted_joins(tops), "doc").groupBy("doc", "tops").agg(F.min_by("filed", F.when(F.array_contains("tops", F.col("filed")), F.col("item"))).alias("f"))
         new = filed.select("doc", F.when((F.size("tops") == 1) | F.col("f").isNull(), F.col("tops")[0]).otherwise(F.col("f")).alias("to_topic")).join(to, "doc")
         inside = group.select("doc", F.col("other").alias("item"), F.lit(True).alias("moved"))
         y = x.join(new, "doc", "left").join(inside, ["doc", "item"], "left")

@@ -101,3 +101,10 @@ def test_kept_table_is_not_sent_to_all_tasks(spark):
     for df in (many.join(few.select("id"), "id"), few.select("id").join(grouped, "id", "left")):
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
         assert df.count() == 1000
+
+
+def test_item_queries_send_no_kept_table_to_all_tasks(spark, monkeypatch):
+    from lectern.plans import items
+
+    assert static_broadcasts(spark, monkeypatch, items.item_assembly) == 0
+    assert static_broadcasts(spark, monkeypatch, items.item_coverage) == 0
