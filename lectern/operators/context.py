@@ -21,7 +21,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.session import checkpointed
+from lectern.session import checkpointed, sorted_joins
 
 KINDS = ("exhibit", "part", "own", "label")
 INTRO = "#intro"
@@ -55,7 +55,7 @@ def tasks_of(units: DataFrame, parts: DataFrame) -> DataFrame:
     )
     before = leaves.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("ord", "label"))).alias("leaves"))
     last = F.try_element_at(F.filter("leaves", lambda v: v["ord"] < F.col("first")), F.lit(-1))
-    return x.join(before, "doc").withColumn("before", last["label"]).drop("leaves")
+    return x.join(sorted_joins(before), "doc").withColumn("before", last["label"]).drop("leaves")
 
 
 def texts_of(parts: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def _settled(found: list[DataFrame], missing: list[DataFrame], tasks: DataFrame,
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
-    every = checkpointed(every.join(none.select("task"), "task", "left_anti"))
+    every = checkpointed(every.join(sorted_joins(none.select("task")), "task", "left_anti"))
     roman = every.filter(F.col("site").contains(".")).select("task", "doc", F.split("site", r"\.")[0].alias("label"), "depth")
     letters = parts.filter("intro").select("doc", "label")
     intro = roman.join(letters, ["doc", "label"], "left_semi").groupBy("task", "doc", "label").agg(F.min("depth").alias("depth")).join(tasks.select("task", "units", "intros"), "task")

@@ -108,3 +108,9 @@ def test_item_queries_send_no_kept_table_to_all_tasks(spark, monkeypatch):
 
     assert static_broadcasts(spark, monkeypatch, items.item_assembly) == 0
     assert static_broadcasts(spark, monkeypatch, items.item_coverage) == 0
+
+
+def test_context_closure_sends_no_kept_table_to_all_tasks(spark, monkeypatch):
+    from lectern.plans import closures
+
+    assert static_broadcasts(spark, monkeypatch, closures.context_closure) == 0
