@@ -114,3 +114,17 @@ def test_context_closure_sends_no_kept_table_to_all_tasks(spark, monkeypatch):
     from lectern.plans import closures
 
     assert static_broadcasts(spark, monkeypatch, closures.context_closure) == 0
+
+
+def test_running_text_sorts_its_words_once(spark):
+    import pyarrow as pa
+
+    from lectern.operators import running
+
+    words = spark.createDataFrame([(1, 1, 50.0, 100.0, 56.0, 110.0, "1"), (1, 1, 500.0, 100.0, 518.0, 110.0, "[2]")], "doc_id long, page int, x0 double, y0 double, x1 double, y1 double, text string")
+    expected = spark.createDataFrame([(1, 1, None, None, 0)], "doc_id long, q int, letter string, roman string, ord int")
+    found = running.followed(words, expected)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
+    assert [(r.q, r.begins, [m.n for m in r.marks]) for r in found.collect()] == [(1, True, [2])]
+    for column in (pa.array([1, None, -1]), pa.array([2**62 + 1, 3]), pa.array(["a", None]), pa.array([1.5, 2.0]), pa.array([True, None]), pa.array([], pa.int32())):
+        assert running.plain(column) == column.to_pylist()
