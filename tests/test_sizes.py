@@ -128,3 +128,9 @@ def test_running_text_sorts_its_words_once(spark):
     assert [(r.q, r.begins, [m.n for m in r.marks]) for r in found.collect()] == [(1, True, [2])]
     for column in (pa.array([1, None, -1]), pa.array([2**62 + 1, 3]), pa.array(["a", None]), pa.array([1.5, 2.0]), pa.array([True, None]), pa.array([], pa.int32())):
         assert running.plain(column) == column.to_pylist()
+
+
+def test_scheme_table_rows_sends_no_kept_table_to_all_tasks(spark, monkeypatch):
+    from lectern.plans import schemes
+
+    assert static_broadcasts(spark, monkeypatch, schemes.scheme_table_rows) == 0
